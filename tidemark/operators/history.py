@@ -30,7 +30,9 @@ def versions(df: DataFrame, key: str, release: str, state_hash: Column, carry: S
     starts = (marked.where(~F.col("attr_hash").eqNullSafe(F.col("_previous")))
                     .withColumn("_next_start", F.lead(release).over(by_key)))
     ends = F.coalesce(F.col("_next_start"), F.col("next_release"))
-    return (starts.join(release_calendar(df, release), "last_release", "left")
+    # At most one row per calendar day, whatever the size of the data: safe to broadcast.
+    calendar = F.broadcast(release_calendar(df, release))
+    return (starts.join(calendar, "last_release", "left")
                   .select(version_key(F.col(key), F.col(release)).alias("version_key"), key, *carry, "attr_hash",
                           F.col(release).alias("valid_from"), ends.alias("valid_to"),
                           ends.isNull().alias("is_current")))
