@@ -18,6 +18,7 @@ from bindings import feeds
 from tidemark.plans import gold, silver
 from tidemark.session import shared_folder
 from tidemark.sources.feeds import measure_catalog, state_regions
+from tidemark.sources.landing import spread
 
 _OPEN: dict[tuple[str, str], Chain] = {}
 
@@ -32,6 +33,7 @@ def chain(spark: SparkSession, sf_dir: str) -> Chain:
 class Chain:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
+        self._landed: dict[str, DataFrame] = {}
         label = re.sub(r"[^A-Za-z0-9]+", "-", sf_dir).strip("-")
         self.folder = f"{shared_folder(spark)}/tidemark/{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:8]}/{label}"
 
@@ -39,7 +41,10 @@ class Chain:
         return feeds.table(self.spark, self.sf_dir, name)
 
     def bronze(self, feed: str) -> DataFrame:
-        return feeds.bronze(self.spark, self.sf_dir, feed)
+        """A landed feed: all rows derived from the test tables, stored once."""
+        if feed not in self._landed:
+            self._landed[feed] = self._stored(f"bronze/{feed}", lambda: spread(feeds.bronze(self.spark, self.sf_dir, feed)))
+        return self._landed[feed]
 
     def scratch(self, name: str) -> str:
         """A new folder for a query that writes."""

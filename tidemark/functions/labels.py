@@ -50,7 +50,8 @@ def only_with_support(value: Column, n: Column, at_least: int) -> Column:
 
 
 def star_glyphs(stars: Column) -> Column:
-    filled = F.least(F.greatest(stars.cast("int"), F.lit(0)), F.lit(5))
+    n = stars.cast("int")
+    filled = F.when(n > 5, 5).when(n < 0, 0).otherwise(n)
     glyphs = F.concat(F.repeat(F.lit("★"), filled), F.repeat(F.lit("☆"), F.lit(5) - filled))
     return F.coalesce(glyphs, F.lit("—"))
 

@@ -29,7 +29,8 @@ VALUES_PER_PIECE = 200_000
 def _coarse_step(x: Column) -> Column:
     step = F.signum(x) * F.log1p(F.abs(x)) * F.lit(64.0)
     clamped = F.least(F.greatest(step, F.lit(-100000.0)), F.lit(100000.0))
-    return F.when(F.isnan(x), F.lit(200000)).otherwise(F.floor(clamped).cast("int"))
+    step = F.when(F.isnan(x), F.lit(200000)).otherwise(F.floor(clamped).cast("int"))
+    return F.coalesce(step, F.lit(0))
 
 
 def ordered_counts(df: DataFrame, groups: Sequence[str], value: str,
@@ -43,17 +44,25 @@ def ordered_counts(df: DataFrame, groups: Sequence[str], value: str,
                 .groupBy(F.struct(*groups).alias("_g"), F.col(value).alias("_v"))
                 .agg(F.count(F.lit(1)).alias("n_eq"))
                 .withColumn("_step", _coarse_step(x)))
+    # The aggregates keep every column of what they read, so both uses of a shuffle
+    # ask for the same columns and Spark runs it once.
     steps = (counts.groupBy("_g", "_step")
-                   .agg(F.count(F.lit(1)).alias("_values"), F.min(x).alias("_low"), F.max(x).alias("_high"))
+                   .agg(F.count(F.lit(1)).alias("_values"), F.min(x).alias("_low"), F.max(x).alias("_high"),
+                        F.sum("n_eq").alias("_step_rows"))
+                   .where(F.col("_step_rows") > 0)
                    .withColumn("_pieces", F.ceil(F.col("_values") / F.lit(float(values_per_piece))).cast("int")))
     share = F.try_divide(x - F.col("_low"), F.col("_high") - F.col("_low"))
     piece = (F.when((F.col("_pieces") > 1) & (F.col("_high") > F.col("_low")),
                     F.least(F.floor(share * F.col("_pieces")).cast("int"), F.col("_pieces") - 1))
               .otherwise(0))
-    placed = counts.join(steps, ["_g", "_step"]).select("_g", "_step", piece.alias("_piece"), "_v", "n_eq")
+    placed = (counts.join(steps.drop("_step_rows"), ["_g", "_step"])
+                    .select("_g", "_step", F.coalesce(piece, F.lit(0)).alias("_piece"), "_v", "n_eq")
+                    .repartition("_g", "_step", "_piece"))
 
     before = Window.partitionBy("_g").orderBy("_step", "_piece").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (placed.groupBy("_g", "_step", "_piece").agg(F.sum("n_eq").alias("_rows"))
+    offsets = (placed.groupBy("_g", "_step", "_piece")
+                     .agg(F.sum("n_eq").alias("_rows"), F.count("_v").alias("_distinct"))
+                     .where(F.col("_distinct") > 0)
                      .select("_g", "_step", "_piece",
                              F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
                              F.sum("_rows").over(Window.partitionBy("_g")).alias("n_total")))

@@ -87,6 +87,17 @@ def to_bronze(rows: DataFrame, run_id: str, release: str | Column, source: str,
         moment.cast("string").alias("_ingested_at"), release.cast("string").alias("_release_date"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread rows when the scan has fewer tasks than the cluster has slots.
+
+    One file with one row group is read by one task, however many could share
+    the work that follows.  Larger inputs come in enough splits and stay as
+    they are.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def refuse_empty(df: DataFrame, what: str) -> DataFrame:
     if df.isEmpty():
         raise EmptyFeedError(f"{what}: the source delivered no rows")
