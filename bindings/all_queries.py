@@ -1,6 +1,6 @@
 """Imports every module that registers queries."""
 
-from bindings import columns, models  # noqa: F401
+from bindings import columns, models, pipeline, relational  # noqa: F401
 from bindings.registry import ENTRIES
 
 __all__ = ["ENTRIES"]
