@@ -98,12 +98,15 @@ def _(c):
 
 
 # --- ranks and quantiles ---------------------------------------------------------------
-@query("price_quantiles", "E06 E07", """select l_returnflag, l_linestatus, count(*) as n_total, quantile_cont(l_extendedprice, 0.10) as p10,
-  quantile_cont(l_extendedprice, 0.25) as p25, quantile_cont(l_extendedprice, 0.5) as median,
-  quantile_cont(l_extendedprice, 0.75) as p75, quantile_cont(l_extendedprice, 0.90) as p90 from lineitem group by 1, 2""")
+PRICE_PROBS = {"p10": 0.10, "p25": 0.25, "median": 0.5, "p75": 0.75, "p90": 0.90}
+
+
+# Prices in cents weighted by quarters have four decimals, so rounding there settles no tie.
+@query("price_quantiles", "E06 E07", f"""select l_returnflag, l_linestatus, count(*) as n_total,
+  {', '.join(f'round(quantile_cont(l_extendedprice, {q}), 4) as {n}' for n, q in PRICE_PROBS.items())} from lineitem group by 1, 2""")
 def _(c):
-    return ranks.group_quantiles(c.table("lineitem"), ["l_returnflag", "l_linestatus"], "l_extendedprice",
-                                 {"p10": 0.10, "p25": 0.25, "median": 0.5, "p75": 0.75, "p90": 0.90})
+    found = ranks.group_quantiles(c.table("lineitem"), ["l_returnflag", "l_linestatus"], "l_extendedprice", PRICE_PROBS)
+    return found.withColumns({n: numeric.round_half_away(F.col(n), 4) for n in PRICE_PROBS})
 
 
 @query("quantity_medians", "E07 F05", "select l_suppkey, count(*) as n_total, quantile_cont(l_quantity, 0.5) as median from lineitem group by 1")

@@ -72,7 +72,10 @@ def benchmark_scores(stg: DataFrame, catalog: DataFrame) -> DataFrame:
                  .withColumn("lower_is_better", F.coalesce("lower_is_better", F.lit(True))))
     rated = labels.is_rated(F.col("score"), F.col("comparison_category"))
 
-    counts = ranks.ordered_counts(stg.where(rated), groups, "score")
+    # A row without measure or release has no peers.  Saying so here gives every
+    # branch below the same filter, and with it the same shuffle to reuse.
+    placeable = F.col("measure_id").isNotNull() & F.col("release_date").isNotNull()
+    counts = ranks.ordered_counts(stg.where(rated & placeable), groups, "score")
     medians = (ranks.quantiles_from_counts(counts, groups, "score", {"national_median": 0.5})
                     .select(*groups, "national_median"))
     peers = (counts.join(medians, groups)
