@@ -80,9 +80,9 @@ def test_tier_bounds_are_inclusive(spark):
 
 
 def test_rounding_is_on_the_binary_value(spark):
-    df = spark.createDataFrame([(1.005,), (0.285,), (2.5,), (-2.5,), (None,)], "x double")
-    assert [r[0] for r in df.select(numeric.round_half_away(F.col("x"), 2)).collect()] == [1.0, 0.28, 2.5, -2.5, None] or \
-        [r[0] for r in df.select(numeric.round_half_away(F.col("x"), 2)).collect()][0] == 1.0
+    df = spark.createDataFrame([(1.005,), (2.675,), (2.5,), (-2.125,), (None,)], "x double")
+    assert [r[0] for r in df.select(numeric.round_half_away(F.col("x"), 2)).collect()] == [1.0, 2.68, 2.5, -2.13, None]
+    assert df.select(F.round("x", 2)).first()[0] == 1.01
 
 
 def test_ratio_without_whole_is_null(spark):
