@@ -14,7 +14,9 @@ from tidemark.session import get_session  # noqa: E402
 def spark():
     session = get_session("tests", "local[4]", **{
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
-        "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g"})
+        "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g",
+        # Tests run many small plans once each; compiling them would take most of the time.
+        "spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -98,7 +98,15 @@ class SilverParts:
     good: DataFrame     # typed rows that keep every rule, duplicates still in
     bad: DataFrame      # rejected rows, as cleaned text, with reasons
     rows: DataFrame     # newest good row per key
-    stats: DataFrame    # rows_in, quarantined, unparseable in one row
+    by_release: DataFrame   # rows_in, quarantined, unparseable per release
+
+    @property
+    def stats(self) -> DataFrame:
+        """The counts of all releases in one row."""
+        return self.by_release.agg(*[F.sum(n).alias(n) for n in COUNTS])
+
+
+COUNTS = ["rows_in", "quarantined", "unparseable_numerics"]
 
 
 def silver_parts(bronze: DataFrame, dataset: str) -> SilverParts:
@@ -114,10 +122,10 @@ def silver_parts(bronze: DataFrame, dataset: str) -> SilverParts:
         *[F.lit(value).alias(name) for name, value in plan.labels],
         "release_date", "_ingested_at")
     rows = newest_per_key(good, plan.feed.key, [F.desc_nulls_last("_ingested_at")])
-    return SilverParts(good, routed.bad, rows, _stats(cleaned, rules, plan))
+    return SilverParts(good, routed.bad, rows, _counts_by_release(cleaned, rules, plan))
 
 
-def _stats(cleaned: DataFrame, rules: dict[str, Column], plan: FeedPlan) -> DataFrame:
+def _counts_by_release(cleaned: DataFrame, rules: dict[str, Column], plan: FeedPlan) -> DataFrame:
     """One pass over the few columns the rules and the score need.
 
     Counted from the table rather than by an observer on the write: an observer
@@ -127,8 +135,9 @@ def _stats(cleaned: DataFrame, rules: dict[str, Column], plan: FeedPlan) -> Data
     for ok in rules.values():
         keeps_all = keeps_all & F.coalesce(ok, F.lit(False))
     score = F.when(keeps_all, F.col("score")) if "score" in plan.spec else F.lit(None).cast("string")
-    return cleaned.agg(F.count(F.lit(1)).alias("rows_in"), F.count_if(~keeps_all).alias("quarantined"),
-                       lost_in_parsing(score, parse.to_double(score)).alias("unparseable_numerics"))
+    return cleaned.groupBy("release_date").agg(
+        F.count(F.lit(1)).alias("rows_in"), F.count_if(~keeps_all).alias("quarantined"),
+        lost_in_parsing(score, parse.to_double(score)).alias("unparseable_numerics"))
 
 
 def silver_hospitals(bronze: DataFrame) -> DataFrame:
@@ -170,8 +179,13 @@ def refresh_silver(spark: SparkSession, bronze_folder: str, silver_folder: str,
                  "quarantined": 0, "duplicates_removed": 0, "unparseable_numerics": 0}
         if releases:
             parts = silver_parts(lake.read_releases(spark, bronze_path, releases), name)
-            entry |= parts.stats.first().asDict()
+            counted = parts.by_release.collect()  # one row per release
+            entry |= {n: sum(r[n] for r in counted) for n in COUNTS}
             lake.write_partitions(parts.rows, table_path, feed.partitions)
+            for r in counted:
+                if r["rows_in"] == r["quarantined"]:  # nothing was written over what an earlier run left
+                    where = {"source_dataset": name, "release_date": r["release_date"]}
+                    lake.empty_partition(parts.rows, table_path, {p: where[p] for p in feed.partitions})
             lake.replace_quarantine(parts.bad, f"{quarantine_folder}/{name}", releases)
             written = lake.read_table(spark, table_path).where(F.col("release_date").isin(releases))
             if "source_dataset" in feed.partitions:

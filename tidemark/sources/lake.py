@@ -54,6 +54,12 @@ def write_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> Non
        .partitionBy(*partitions).parquet(path))
 
 
+def empty_partition(like: DataFrame, path: str, partition: Mapping[str, str]) -> None:
+    """Replace one partition by a file without rows (a partitioned write leaves it as it is)."""
+    place = "/".join(f"{name}={value}" for name, value in partition.items())
+    like.drop(*partition).where(F.lit(False)).write.mode("overwrite").parquet(f"{path}/{place}")
+
+
 def replace_quarantine(bad: DataFrame, path: str, releases: Sequence[str]) -> None:
     """Rejected rows of the given releases, replacing what an earlier run rejected.
 
