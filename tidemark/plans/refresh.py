@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import gate, gold, oplog
 from tidemark.plans.silver import refresh_silver
+from tidemark.session import together
 from tidemark.sources import lake, landing
 from tidemark.sources.feeds import measure_catalog, state_regions
 
@@ -71,39 +72,51 @@ def land(spark: SparkSession, folders: Lake, dataset: str, release: str, rows: D
     return True
 
 
-def build_gold(spark: SparkSession, folders: Lake, full_refresh: bool = False) -> dict[str, DataFrame]:
-    """All marts.  New facts are written before the marts that read them."""
-    tables = {name: lake.read_table(spark, f"{folders.silver}/{name}")
-              for name in ("hospitals", "measure_scores", "hcahps")}
+def build_gold(spark: SparkSession, folders: Lake, version: str, full_refresh: bool = False) -> DataFrame:
+    """Write all marts under ``version`` and publish them; returns the published entry.
+
+    Every mart reads the stored form of the marts it builds on.
+    """
+    tables = silver_tables(spark, folders)
     regions, catalog = state_regions(spark), measure_catalog(spark)
     hospitals = gold.stg_hospitals(tables["hospitals"])
     scores = gold.stg_measure_scores(tables["measure_scores"])
 
-    loaded = None if full_refresh else _facts(spark, folders)
-    fresh = gold.with_load_time(gold.fct_measure_scores(scores, catalog, loaded))
-    lake.write_partitions(fresh, folders.facts, ["source_dataset", "release_date"])
-    facts = _facts(spark, folders)
-
-    history = gold.dim_hospital_history(gold.hospital_versions(hospitals), regions)
-    dim = gold.dim_hospital(hospitals, regions)
-    measures = gold.dim_measure(scores, catalog)
-    experience = gold.fct_patient_experience(gold.survey_pivot(gold.stg_survey(tables["hcahps"])))
-    scorecard = gold.hospital_scorecard(dim, facts, experience, hospitals)
-    return {
-        "dim_hospital": dim,
-        "dim_hospital_history": history,
-        "dim_measure": measures,
-        "fct_measure_scores": facts,
-        "fct_patient_experience": experience,
-        "mart_hospital_scorecard": scorecard,
-        "mart_state_summary": gold.state_summary(scorecard),
-        "mart_measure_benchmarks": gold.measure_benchmarks(facts, measures),
-        "mart_rating_changes": gold.rating_changes(history),
-    }
+    out = lake.Snapshot(spark, folders.marts, version)
+
+    def facts():
+        loaded = None if full_refresh else _facts(spark, folders)
+        fresh = gold.with_load_time(gold.fct_measure_scores(scores, catalog, loaded))
+        lake.write_partitions(fresh, folders.facts, ["source_dataset", "release_date"])
+        return out.put("fct_measure_scores", _facts(spark, folders))
+
+    def history():
+        versions = gold.dim_hospital_history(gold.hospital_versions(hospitals), regions)
+        stored = out.put("dim_hospital_history", versions)
+        out.put("mart_rating_changes", gold.rating_changes(stored))
+
+    def experience():
+        pivoted = gold.survey_pivot(gold.stg_survey(tables["hcahps"]))
+        return out.put("fct_patient_experience", gold.fct_patient_experience(pivoted))
+
+    fact_table, dim, measures, survey, _ = together(
+        spark, facts, lambda: out.put("dim_hospital", gold.dim_hospital(hospitals, regions)),
+        lambda: out.put("dim_measure", gold.dim_measure(scores, catalog)), experience, history)
+
+    def scorecard():
+        stored = out.put("mart_hospital_scorecard", gold.hospital_scorecard(dim, fact_table, survey, hospitals))
+        out.put("mart_state_summary", gold.state_summary(stored))
+
+    together(spark, scorecard, lambda: out.put("mart_measure_benchmarks", gold.measure_benchmarks(fact_table, measures)))
+    return out.commit()
+
+
+def silver_tables(spark: SparkSession, folders: Lake) -> dict[str, DataFrame]:
+    return {name: lake.read_table(spark, f"{folders.silver}/{name}") for name in ("hospitals", "measure_scores", "hcahps")}
 
 
 def _facts(spark: SparkSession, folders: Lake) -> DataFrame | None:
-    facts = lake.read_table_or_none(spark, folders.facts)
+    facts = lake.read_table_or_none(spark, folders.facts, merge=True)
     return None if facts is None else facts.withColumn("release_date", F.col("release_date").cast("date"))
 
 
@@ -131,8 +144,7 @@ def refresh(spark: SparkSession, root: str, as_of: str, source: str = "files", t
         return sum(s["rows_out"] for s in state["stats"]), {"tables": state["stats"]}
 
     def checks():
-        tables = {t: lake.read_table(spark, f"{folders.silver}/{t}") for t in ("hospitals", "measure_scores", "hcahps")}
-        results = gate.run_checks(tables, as_of, state["stats"])
+        results = gate.run_checks(silver_tables(spark, folders), as_of, state["stats"])
         log = f"{folders.ops}/dq_results"
         oplog.append(oplog.check_events(results, run_id, F.lit(now())), folders.ops, "dq_results")
         stored = spark.read.parquet(log).where(F.col("run_id") == run_id)
@@ -140,8 +152,7 @@ def refresh(spark: SparkSession, root: str, as_of: str, source: str = "files", t
         return stored.count(), {}
 
     def publish():
-        tables = build_gold(spark, folders, full_refresh)
-        entry = lake.publish_snapshot(tables, folders.marts, run_id).first()
+        entry = build_gold(spark, folders, run_id, full_refresh).first()
         return sum(entry["tables"].values()), {"published": entry["tables"]}
 
     try:

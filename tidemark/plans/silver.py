@@ -12,6 +12,7 @@ from tidemark.functions import parse
 from tidemark.operators.newest import newest_per_key
 from tidemark.operators.routing import key_rules, lost_in_parsing, route
 from tidemark.operators.shape import not_yet_done
+from tidemark.session import together
 from tidemark.sources import lake
 from tidemark.sources.feeds import FEEDS, Feed
 
@@ -166,31 +167,47 @@ def pending_releases(spark: SparkSession, bronze_path: str, table_path: str, fee
     return not_yet_done(available, done.select("release_date"), ["release_date"], full_refresh)
 
 
+def refresh_feed(spark: SparkSession, bronze_folder: str, silver_folder: str, quarantine_folder: str,
+                 name: str, full_refresh: bool = False) -> dict:
+    """Bring one feed's pending releases to silver; returns its counts."""
+    feed = FEEDS[name]
+    bronze_path, table_path = f"{bronze_folder}/{name}", f"{silver_folder}/{feed.table}"
+    pending = pending_releases(spark, bronze_path, table_path, feed, full_refresh)
+    releases = sorted(r[0] for r in pending.collect())  # one row per release
+    entry = {"table": f"{feed.table}<-{name}", "releases": releases, "rows_in": 0, "rows_out": 0,
+             "quarantined": 0, "duplicates_removed": 0, "unparseable_numerics": 0}
+    if not releases:
+        return entry
+    parts = silver_parts(lake.read_releases(spark, bronze_path, releases), name)
+    counted, _, _ = together(
+        spark, parts.by_release.collect,  # one row per release
+        lambda: lake.write_partitions(parts.rows, table_path, feed.partitions),
+        lambda: lake.replace_quarantine(parts.bad, f"{quarantine_folder}/{name}", releases))
+    entry |= {n: sum(r[n] for r in counted) for n in COUNTS}
+    for r in counted:
+        if r["rows_in"] == r["quarantined"]:  # nothing was written over what an earlier run left
+            where = {"source_dataset": name, "release_date": r["release_date"]}
+            lake.empty_partition(parts.rows, table_path, {p: where[p] for p in feed.partitions})
+    written = lake.read_table(spark, table_path).where(F.col("release_date").isin(releases))
+    if "source_dataset" in feed.partitions:
+        written = written.where(F.col("source_dataset") == name)
+    entry["rows_out"] = written.count()
+    entry["duplicates_removed"] = entry["rows_in"] - entry["quarantined"] - entry["rows_out"]
+    return entry
+
+
 def refresh_silver(spark: SparkSession, bronze_folder: str, silver_folder: str, quarantine_folder: str,
                    full_refresh: bool = False, datasets: list[str] | None = None) -> list[dict]:
-    """Process pending releases feed by feed; one dictionary of counts per feed."""
-    stats = []
+    """Process pending releases of every feed; one dictionary of counts per feed.
+
+    Tables are refreshed side by side; feeds that share a table follow one another.
+    """
+    by_table: dict[str, list[str]] = {}
     for name in datasets or list(FEEDS):
-        feed = FEEDS[name]
-        bronze_path, table_path = f"{bronze_folder}/{name}", f"{silver_folder}/{feed.table}"
-        pending = pending_releases(spark, bronze_path, table_path, feed, full_refresh)
-        releases = sorted(r[0] for r in pending.collect())  # one row per release
-        entry = {"table": f"{feed.table}<-{name}", "releases": releases, "rows_in": 0, "rows_out": 0,
-                 "quarantined": 0, "duplicates_removed": 0, "unparseable_numerics": 0}
-        if releases:
-            parts = silver_parts(lake.read_releases(spark, bronze_path, releases), name)
-            counted = parts.by_release.collect()  # one row per release
-            entry |= {n: sum(r[n] for r in counted) for n in COUNTS}
-            lake.write_partitions(parts.rows, table_path, feed.partitions)
-            for r in counted:
-                if r["rows_in"] == r["quarantined"]:  # nothing was written over what an earlier run left
-                    where = {"source_dataset": name, "release_date": r["release_date"]}
-                    lake.empty_partition(parts.rows, table_path, {p: where[p] for p in feed.partitions})
-            lake.replace_quarantine(parts.bad, f"{quarantine_folder}/{name}", releases)
-            written = lake.read_table(spark, table_path).where(F.col("release_date").isin(releases))
-            if "source_dataset" in feed.partitions:
-                written = written.where(F.col("source_dataset") == name)
-            entry["rows_out"] = written.count()
-            entry["duplicates_removed"] = entry["rows_in"] - entry["quarantined"] - entry["rows_out"]
-        stats.append(entry)
-    return stats
+        by_table.setdefault(FEEDS[name].table, []).append(name)
+
+    def refresh_table(names: list[str]) -> list[dict]:
+        return [refresh_feed(spark, bronze_folder, silver_folder, quarantine_folder, n, full_refresh) for n in names]
+
+    done = together(spark, *[lambda names=names: refresh_table(names) for names in by_table.values()])
+    return [entry for entries in done for entry in entries]

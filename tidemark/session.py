@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -39,3 +42,10 @@ def shared_folder(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="tidemark-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+def together(spark: SparkSession, *works: Callable[[], object]) -> list:
+    """Submit independent jobs from one thread each, so small ones do not wait for each other."""
+    with ThreadPoolExecutor(max_workers=len(works)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(work)) for work in works]
+        return [r.result() for r in running]

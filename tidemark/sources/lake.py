@@ -13,19 +13,20 @@ from pyspark.sql import types as T
 ROWS_PER_FILE = 5_000_000
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A partitioned table; columns that only some files have are NULL elsewhere.
+def read_table(spark: SparkSession, path: str, merge: bool = False) -> DataFrame:
+    """A partitioned table.
 
-    Release folders are discovered as dates by Spark, and tables hold releases
-    as text, so the column is cast back.
+    ``merge`` gathers the columns of all files, which reads every footer; it is
+    for tables whose columns may grow.  Release folders are discovered as dates
+    by Spark, and tables hold releases as text, so the column is cast back.
     """
-    df = spark.read.option("mergeSchema", True).parquet(path)
+    df = spark.read.option("mergeSchema", merge).parquet(path)
     return df.withColumn("release_date", F.col("release_date").cast("string")) if "release_date" in df.columns else df
 
 
-def read_table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+def read_table_or_none(spark: SparkSession, path: str, merge: bool = False) -> DataFrame | None:
     try:
-        return read_table(spark, path)
+        return read_table(spark, path, merge)
     except AnalysisException as missing:
         if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -33,10 +34,11 @@ def read_table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def read_releases(spark: SparkSession, path: str, releases: Sequence[str]) -> DataFrame:
-    """Bronze rows of the given releases; other partitions are pruned, not read."""
-    return (read_table(spark, path)
-            .where(F.col("release_date").isin(list(releases)))
-            .withColumn("_ingested_at", F.col("_ingested_at").cast("timestamp")))
+    """Bronze rows of the given releases, with the columns of their files; no other folder is opened."""
+    folders = [f"{path}/release_date={r}" for r in releases]
+    df = spark.read.option("basePath", path).option("mergeSchema", True).parquet(*folders)
+    return (df.withColumn("release_date", F.col("release_date").cast("string"))
+              .withColumn("_ingested_at", F.col("_ingested_at").cast("timestamp")))
 
 
 def write_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
@@ -77,7 +79,7 @@ def replace_quarantine(bad: DataFrame, path: str, releases: Sequence[str]) -> No
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path).where(~F.col("_marker")).drop("_marker")
+    return read_table(spark, path, merge=True).where(~F.col("_marker")).drop("_marker")
 
 
 def releases_in(spark: SparkSession, path: str, partitions: Sequence[str] = ("release_date",)) -> DataFrame:
@@ -88,23 +90,42 @@ def releases_in(spark: SparkSession, path: str, partitions: Sequence[str] = ("re
     return table.select(*partitions).distinct()
 
 
-def publish_snapshot(tables: Mapping[str, DataFrame], folder: str, version: str) -> DataFrame:
-    """Write all tables under ``version`` and make them visible together.
+class Snapshot:
+    """Tables written under one version and made visible together.
 
-    Counts come from the files just written.  The entry in ``published`` is
-    appended last; until then readers keep the version before.
+    ``put`` writes a table and hands back the stored one, so tables that build
+    on it read what was written instead of computing it again.  ``commit``
+    appends the entry that makes the version visible; until then readers keep
+    the version before.
     """
-    spark = next(iter(tables.values())).sparkSession
-    counts = []
-    for name, table in tables.items():
-        path = f"{folder}/version={version}/{name}"
+
+    def __init__(self, spark: SparkSession, folder: str, version: str) -> None:
+        self.spark, self.folder, self.version = spark, folder, version
+        self.tables: dict[str, DataFrame] = {}
+
+    def put(self, name: str, table: DataFrame) -> DataFrame:
+        path = f"{self.folder}/version={self.version}/{name}"
         table.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).option("compression", "zstd").parquet(path)
-        counts.append(spark.read.parquet(path).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count")))
-    entry = (reduce(DataFrame.unionByName, counts)
-             .groupBy().agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("table_name", "row_count")))).alias("tables"))
-             .select(F.lit(version).alias("version"), F.current_timestamp().alias("published_at"), "tables"))
-    entry.coalesce(1).write.mode("append").json(f"{folder}/published")
-    return published(spark, folder).where(F.col("version") == version)
+        self.tables[name] = self.spark.read.parquet(path)
+        return self.tables[name]
+
+    def commit(self) -> DataFrame:
+        """The published entry, with row counts taken from the files just written."""
+        counts = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
+                  for name, df in self.tables.items()]
+        pairs = F.collect_list(F.struct("table_name", "row_count"))      # one pair per table
+        entry = (reduce(DataFrame.unionByName, counts)
+                 .agg(F.map_from_entries(F.sort_array(pairs)).alias("tables"))
+                 .select(F.lit(self.version).alias("version"), F.current_timestamp().alias("published_at"), "tables"))
+        entry.write.mode("append").json(f"{self.folder}/published")
+        return published(self.spark, self.folder).where(F.col("version") == self.version)
+
+
+def publish_snapshot(tables: Mapping[str, DataFrame], folder: str, version: str) -> DataFrame:
+    snapshot = Snapshot(next(iter(tables.values())).sparkSession, folder, version)
+    for name, table in tables.items():
+        snapshot.put(name, table)
+    return snapshot.commit()
 
 
 PUBLISHED_SCHEMA = "version string, published_at timestamp, tables map<string,bigint>"
