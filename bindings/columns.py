@@ -205,7 +205,7 @@ def _(c):
 
 @query("parse_failures", "C04", f"select release_date, count(*) filter (where s is not null and {oracle.num('s')} is null) as failures from (select release_date, {oracle.clean('score')} as s from bronze_complications_deaths) as t group by 1")
 def _(c):
-    score = parse.text_or_null(F.col("score"))
+    score = parse.text_or_null("score")
     return c.bronze("complications_deaths").groupBy("release_date").agg(
         lost_in_parsing(score, parse.to_double(score)).alias("failures"))
 

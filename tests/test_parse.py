@@ -14,7 +14,7 @@ def one(spark, text, f):
 
 def test_words_for_no_value(spark):
     rows = [("  Not Available ",), ("NA",), ("na",), ("",), ("--",), (" x ",), (None,), ("\tNA",)]
-    got = [r.y for r in spark.createDataFrame(rows, "x string").select(parse.text_or_null(F.col("x")).alias("y")).collect()]
+    got = [r.y for r in spark.createDataFrame(rows, "x string").select(parse.text_or_null("x").alias("y")).collect()]
     assert got == [None, None, "na", None, None, "x", None, "\tNA"]
 
 

@@ -14,16 +14,18 @@ from tidemark import fixed_values as fv
 PLAIN_NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
-def text_or_null(text: Column) -> Column:
+_NO_VALUE = ", ".join(f"'{word}'" for word in fv.NULL_WORDS)
+
+
+def text_or_null(column: str) -> Column:
     """Trim spaces; the words that stand for "no value" become NULL."""
-    trimmed = F.trim(text)
-    return F.when(~trimmed.isin(fv.NULL_WORDS), trimmed)
+    return F.expr(f"CASE WHEN trim(`{column}`) NOT IN ({_NO_VALUE}) THEN trim(`{column}`) END")
 
 
 def clean_text_columns(df: DataFrame) -> DataFrame:
     """``text_or_null`` on every string column except the ``_audit`` ones."""
     return df.withColumns({
-        f.name: text_or_null(F.col(f.name))
+        f.name: text_or_null(f.name)
         for f in df.schema.fields
         if f.dataType.simpleString() == "string" and not f.name.startswith("_")
     })

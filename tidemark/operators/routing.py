@@ -31,10 +31,10 @@ def route(df: DataFrame, rules: dict[str, Column]) -> Routed:
 
 
 def key_rules(id_column: str = "facility_id", state_column: str = "state") -> dict[str, Column]:
-    states = [line.split(",")[0] for line in fv.STATE_REGIONS_TEXT.splitlines()]
+    states = ", ".join("'" + line.split(",")[0] + "'" for line in fv.STATE_REGIONS_TEXT.splitlines())
     return {
         "invalid_facility_id": F.col(id_column).rlike(fv.FACILITY_ID_PATTERN),
-        "invalid_state": F.col(state_column).isin(states),
+        "invalid_state": F.expr(f"`{state_column}` IN ({states})"),
     }
 
 
