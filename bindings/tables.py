@@ -50,10 +50,13 @@ class Chain:
         """A new folder for a query that writes."""
         return f"{self.folder}/scratch/{name}-{uuid.uuid4().hex[:8]}"
 
-    def _stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        path = f"{self.folder}/{name}"
-        build().write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+    def _stored(self, name: str, build: Callable[[], DataFrame], by_release: bool = False) -> DataFrame:
+        path, table = f"{self.folder}/{name}", build()
+        if by_release:
+            table.hint("rebalance", "release_date").write.mode("overwrite").partitionBy("release_date").parquet(path)
+        else:
+            table.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(table.schema).parquet(path).select(*table.columns)
 
     @cached_property
     def regions(self) -> DataFrame:
@@ -90,7 +93,7 @@ class Chain:
 
     @cached_property
     def facts(self) -> DataFrame:
-        return self._stored("facts", lambda: gold.fct_measure_scores(self.stg_measures, self.catalog))
+        return self._stored("facts", lambda: gold.fct_measure_scores(self.stg_measures, self.catalog), by_release=True)
 
     @cached_property
     def history(self) -> DataFrame:
@@ -107,7 +110,7 @@ class Chain:
 
     @cached_property
     def experience(self) -> DataFrame:
-        return self._stored("experience", lambda: gold.survey_pivot(self.stg_survey))
+        return self._stored("experience", lambda: gold.survey_pivot(self.stg_survey), by_release=True)
 
     @cached_property
     def scorecard(self) -> DataFrame:

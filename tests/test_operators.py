@@ -88,9 +88,17 @@ def test_quantiles_and_ranks_equal_the_built_in_forms(spark):
     assert sorted(map(tuple, counts.collect())) == sorted(map(tuple, window.collect()))
 
 
-def test_descending_rank_leaves_gaps_and_nulls(spark):
+def test_few_values_give_the_same_counts(spark):
+    rng = random.Random(5)
+    df = spark.createDataFrame([(rng.choice("ab"), rng.randint(0, 9) / 10) for _ in range(500)], "g string, v double")
+    assert sorted(map(tuple, ranks.ordered_counts_few_values(df, ["g"], "v").collect())) == \
+        sorted(map(tuple, ranks.ordered_counts(df, ["g"], "v").collect()))
+
+
+@pytest.mark.parametrize("few", [False, True])
+def test_descending_rank_leaves_gaps_and_nulls(spark, few):
     df = spark.createDataFrame([(1, "a", 9.0), (2, "a", 9.0), (3, "a", 5.0), (4, "a", None), (5, "b", 1.0)], "id int, g string, v double")
-    got = {r.id: r.place for r in ranks.descending_rank(df, ["g"], "v", "place", ["id"]).collect()}
+    got = {r.id: r.place for r in ranks.descending_rank(df, ["g"], "v", "place", ["id"], few).collect()}
     assert got == {1: 1, 2: 1, 3: 3, 4: None, 5: 1}
 
 

@@ -74,6 +74,22 @@ def ordered_counts(df: DataFrame, groups: Sequence[str], value: str,
                           (F.col("_before") + F.col("_inside")).alias("n_lt"), "n_total"))
 
 
+def ordered_counts_few_values(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
+    """``ordered_counts`` for values from a short list, such as points rounded to one decimal.
+
+    After the first aggregation a group has as many rows as the list has
+    values, however many rows it came from, so one window finishes the work.
+    """
+    counts = (df.where(F.col(value).isNotNull())
+                .groupBy(F.struct(*groups).alias("_g"), F.col(value).alias("_v"))
+                .agg(F.count(F.lit(1)).alias("n_eq")))
+    group = Window.partitionBy("_g")
+    before = group.orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select(*[F.col("_g")[g].alias(g) for g in groups], F.col("_v").alias(value), "n_eq",
+                         F.coalesce(F.sum("n_eq").over(before), F.lit(0)).alias("n_lt"),
+                         F.sum("n_eq").over(group).alias("n_total"))
+
+
 def quantiles_from_counts(counts: DataFrame, groups: Sequence[str], value: str,
                           probs: dict[str, float]) -> DataFrame:
     """Linearly interpolated quantiles per group from ``ordered_counts``."""
@@ -123,8 +139,9 @@ def attach_by_value(df: DataFrame, lookup: DataFrame, groups: Sequence[str], val
 
 
 def descending_rank(df: DataFrame, groups: Sequence[str], value: str, name: str,
-                    spread_by: Sequence[str]) -> DataFrame:
+                    spread_by: Sequence[str], few_values: bool = False) -> DataFrame:
     """Rank with gaps, largest first, among the rows that have a value; others get NULL."""
-    counts = ordered_counts(df, groups, value)
-    ranks = counts.select(*groups, value, (F.col("n_total") - F.col("n_lt") - F.col("n_eq") + 1).cast("int").alias(name))
+    counts = (ordered_counts_few_values if few_values else ordered_counts)(df, groups, value)
+    place = (F.col("n_total") - F.col("n_lt") - F.col("n_eq") + 1).cast("int")
+    ranks = counts.select(*groups, value, place.alias(name))
     return attach_by_value(df, ranks, groups, value, F.col(value).isNotNull(), spread_by)

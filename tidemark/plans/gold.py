@@ -183,7 +183,8 @@ def hospital_scorecard(dim: DataFrame, facts: DataFrame, experience: DataFrame,
         labels.only_with_support(round_half_away(F.col("_mean_points"), 1), F.col("measures_rated"),
                                  min_measures).alias("outcome_composite"))
     tiered = card.withColumn("outcome_tier", labels.outcome_tier(F.col("outcome_composite")))
-    return ranks.descending_rank(tiered, ["state"], "outcome_composite", "state_rank", ["facility_id"])
+    # The composite has one decimal between 0 and 100: at most 1001 values per state.
+    return ranks.descending_rank(tiered, ["state"], "outcome_composite", "state_rank", ["facility_id"], few_values=True)
 
 
 def state_summary(scorecard: DataFrame) -> DataFrame:

@@ -88,7 +88,7 @@ def build_gold(spark: SparkSession, folders: Lake, version: str, full_refresh: b
         loaded = None if full_refresh else _facts(spark, folders)
         fresh = gold.with_load_time(gold.fct_measure_scores(scores, catalog, loaded))
         lake.write_partitions(fresh, folders.facts, ["source_dataset", "release_date"])
-        return out.put("fct_measure_scores", _facts(spark, folders))
+        return out.put("fct_measure_scores", _facts(spark, folders), ["release_date"])
 
     def history():
         versions = gold.dim_hospital_history(gold.hospital_versions(hospitals), regions)
@@ -97,7 +97,7 @@ def build_gold(spark: SparkSession, folders: Lake, version: str, full_refresh: b
 
     def experience():
         pivoted = gold.survey_pivot(gold.stg_survey(tables["hcahps"]))
-        return out.put("fct_patient_experience", gold.fct_patient_experience(pivoted))
+        return out.put("fct_patient_experience", gold.fct_patient_experience(pivoted), ["release_date"])
 
     fact_table, dim, measures, survey, _ = together(
         spark, facts, lambda: out.put("dim_hospital", gold.dim_hospital(hospitals, regions)),
@@ -107,7 +107,8 @@ def build_gold(spark: SparkSession, folders: Lake, version: str, full_refresh: b
         stored = out.put("mart_hospital_scorecard", gold.hospital_scorecard(dim, fact_table, survey, hospitals))
         out.put("mart_state_summary", gold.state_summary(stored))
 
-    together(spark, scorecard, lambda: out.put("mart_measure_benchmarks", gold.measure_benchmarks(fact_table, measures)))
+    together(spark, scorecard, lambda: out.put("mart_measure_benchmarks", gold.measure_benchmarks(fact_table, measures),
+                                              ["release_date"]))
     return out.commit()
 
 

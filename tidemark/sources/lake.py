@@ -103,10 +103,14 @@ class Snapshot:
         self.spark, self.folder, self.version = spark, folder, version
         self.tables: dict[str, DataFrame] = {}
 
-    def put(self, name: str, table: DataFrame) -> DataFrame:
+    def put(self, name: str, table: DataFrame, partitions: Sequence[str] = ()) -> DataFrame:
+        """Write one table; with ``partitions``, questions about one release open only its folder."""
         path = f"{self.folder}/version={self.version}/{name}"
-        table.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).option("compression", "zstd").parquet(path)
-        self.tables[name] = self.spark.read.parquet(path)
+        columns = table.columns
+        rows = table.hint("rebalance", *partitions) if partitions else table
+        (rows.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).option("compression", "zstd")
+             .partitionBy(*partitions).parquet(path))
+        self.tables[name] = self.spark.read.schema(table.schema).parquet(path).select(*columns)
         return self.tables[name]
 
     def commit(self) -> DataFrame:
@@ -145,6 +149,6 @@ def open_snapshot(spark: SparkSession, folder: str, version: str | None = None)
     names = published(spark, folder).where(F.col("version") == version).select(F.explode(F.map_keys("tables"))).distinct()
     tables = {}
     for (name,) in sorted(names.collect()):  # one row per table name
-        tables[name] = spark.read.parquet(f"{folder}/version={version}/{name}")
+        tables[name] = spark.read.parquet(f"{folder}/version={version}/{name}")   # release folders read as dates
         tables[name].createOrReplaceTempView(name)
     return tables
