@@ -14,7 +14,7 @@ from tidemark.functions.numeric import exact_mean, percent, round_half_away
 from tidemark.operators import history as hist
 from tidemark.operators import ranks
 from tidemark.operators.newest import before_latest, latest_release, latest_slice, value_at_newest
-from tidemark.operators.shape import max_for_item, newer_than_loaded
+from tidemark.operators.shape import max_for_item, newer_than_loaded, not_yet_done
 from tidemark.sources.feeds import DIM_HOSPITAL_CONTRACT
 
 TRACKED = ["facility_name", "hospital_type", "ownership", "overall_rating", "has_emergency_services",
@@ -107,9 +107,16 @@ def fct_measure_scores(stg: DataFrame, catalog: DataFrame, loaded: DataFrame | N
     if by == "newest":
         return benchmark_scores(newer_than_loaded(stg, loaded), catalog).select(*FACT_COLUMNS)
     pair = ["source_dataset", "release_date"]
-    fresh = stg.select(*pair).distinct().join(loaded.select(*pair).distinct(), pair, "left_anti")
-    touched = stg.join(fresh.select("release_date").distinct(), "release_date", "left_semi")
-    return benchmark_scores(touched, catalog).join(fresh, pair, "left_semi").select(*FACT_COLUMNS)
+    fresh: dict[str, list] = {}
+    for feed, release in not_yet_done(stg, loaded, pair).collect():  # one row per feed and release
+        fresh.setdefault(feed, []).append(release)
+    if not fresh:
+        return benchmark_scores(stg.where(F.lit(False)), catalog).select(*FACT_COLUMNS)
+    touched = sorted({release for releases in fresh.values() for release in releases})
+    wanted = reduce(lambda a, b: a | b, [(F.col("source_dataset") == feed) & F.col("release_date").isin(releases)
+                                         for feed, releases in fresh.items()])
+    peers = stg.where(F.col("release_date").isin(touched))  # literals, so other releases' folders are not opened
+    return benchmark_scores(peers, catalog).where(wanted).select(*FACT_COLUMNS)
 
 
 def with_load_time(df: DataFrame) -> DataFrame:
