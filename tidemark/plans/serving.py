@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fv
 from tidemark.functions import labels
-from tidemark.functions.numeric import exact_mean, percent, ratio
+from tidemark.functions.numeric import exact_mean, percent
 from tidemark.operators.newest import latest_slice
 from tidemark.operators.ranks import group_quantiles
 from tidemark.operators.shape import equal_width_histogram
@@ -216,7 +216,3 @@ def layer_totals(manifest: DataFrame, silver_tables: DataFrame, published: DataF
 
 def newest_release(dim: DataFrame) -> DataFrame:
     return dim.agg(F.max("release_date").alias("release_date"))
-
-
-def share_of(part: Column, whole: Column) -> Column:
-    return ratio(part, whole)

@@ -88,14 +88,14 @@ def to_bronze(rows: DataFrame, run_id: str, release: str | Column, source: str,
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread rows when the scan has fewer tasks than the cluster has slots.
+    """Spread rows that come from fewer files than the cluster has slots.
 
-    One file with one row group is read by one task, however many could share
-    the work that follows.  Larger inputs come in enough splits and stay as
-    they are.
+    A small file is read by one task, however many could share the work that
+    follows.  Larger inputs come in enough files and stay as they are.  Only
+    the file listing is looked at; nothing runs.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    return df.repartition(slots) if len(df.inputFiles()) < slots else df
 
 
 def refuse_empty(df: DataFrame, what: str) -> DataFrame:
