@@ -10,8 +10,8 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -21,7 +21,7 @@ from bindings.tables import chain  # noqa: E402
 import bindings.all_queries  # noqa: E402, F401
 from tidemark.plans import silver  # noqa: E402
 from tidemark.plans.refresh import Lake, build_gold  # noqa: E402
-from tidemark.session import get_session, together  # noqa: E402
+from tidemark.session import get_session, shared_folder, together  # noqa: E402
 from tidemark.sources import lake  # noqa: E402
 from tidemark.sources.feeds import FEEDS  # noqa: E402
 
@@ -42,7 +42,7 @@ def run(df) -> None:
 
 
 def whole_pipeline(spark, sf_dir: str) -> dict[str, float]:
-    folders, c = Lake(tempfile.mkdtemp(prefix="run-")), chain(spark, sf_dir)
+    folders, c = Lake(f"{shared_folder(spark)}/bench-{uuid.uuid4().hex}"), chain(spark, sf_dir)
     spent = {}
 
     def land():
@@ -59,7 +59,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = get_session("bench", f"local[{cpus}]", **{
         "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": "12g"})
+        "spark.driver.memory": "12g", "spark.checkpoint.dir": os.environ.get("BENCH_FOLDER", "/tmp/tidemark-bench")})
     spark.sparkContext.setLogLevel("ERROR")
     c = chain(spark, sf_dir)
     rows = sum(c.bronze(name).count() for name in FEEDS)

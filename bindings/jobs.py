@@ -344,6 +344,7 @@ CHECK_LOG = """select cast(cast(date_trunc('quarter', o_orderdate) as date) as v
 def check_log(c):
     return c.table("orders").select(
         F.date_trunc("quarter", "o_orderdate").cast("date").cast("string").alias("run_id"),
+        F.date_trunc("quarter", "o_orderdate").cast("timestamp").alias("checked_at"),
         F.col("o_orderpriority").alias("dataset"), F.col("o_orderkey").cast("string").alias("check_name"),
         F.when(F.col("o_custkey") % 3 == 0, "error").otherwise("warn").alias("severity"),
         (F.col("o_orderstatus") == "O").alias("passed"), F.lit("0").alias("observed"), F.lit("= 0").alias("threshold"),

@@ -11,6 +11,7 @@ from tidemark.operators import history, newest, ranks, routing, shape, tests
 from tidemark.operators.newest import newest_per_key
 
 QUARTER_SQL = "cast(date_trunc('quarter', o_orderdate) as date)"
+FEED_QUARTER_SQL = f"case when o_orderpriority = '1-URGENT' then least({QUARTER_SQL}, date '1998-10-01') else {QUARTER_SQL} end"
 
 
 def quarter(c="o_orderdate"):
@@ -65,12 +66,11 @@ def _(c):
     return newest.latest_slice(c.table("orders").withColumn("q", quarter()), "q").drop("q")
 
 
-@query("latest_per_feed", "A16", f"""select t.o_orderpriority, t.q, count(*) as n from (select *, {QUARTER_SQL} as q from orders where o_orderpriority <> '1-URGENT' or o_orderdate < timestamp '1999-01-01') as t
-  join (select o_orderpriority, max({QUARTER_SQL}) as q from orders where o_orderpriority <> '1-URGENT' or o_orderdate < timestamp '1999-01-01' group by 1) as m
-  on m.o_orderpriority = t.o_orderpriority and m.q = t.q group by 1, 2""")
+@query("latest_per_feed", "A16", f"""select t.o_orderpriority, t.q, count(*) as n from (select *, {FEED_QUARTER_SQL} as q from orders) as t
+  where t.q = (select max({FEED_QUARTER_SQL}) from orders as o where o.o_orderpriority = t.o_orderpriority) group by 1, 2""")
 def _(c):
-    df = (c.table("orders").withColumn("q", quarter())
-          .where((F.col("o_orderpriority") != "1-URGENT") | (F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz"))))
+    late = F.least(quarter(), F.lit("1998-10-01").cast("date"))         # urgent orders stop early: their rows fall into an older release
+    df = c.table("orders").withColumn("q", F.when(F.col("o_orderpriority") == "1-URGENT", late).otherwise(quarter()))
     found = newest.latest_slice_per_feed(df, "o_orderpriority", "q")
     return found.groupBy("o_orderpriority", "q").agg(F.count(F.lit(1)).alias("n"))
 
@@ -153,14 +153,19 @@ def _(c):
 STATES_SQL = f"""select o_custkey, q, o_orderstatus, o_orderpriority, cast(substr(o_orderpriority, 1, 1) as integer) as rating from (
   select *, row_number() over (partition by o_custkey, q order by o_orderdate desc nulls last, o_orderkey asc) as place
   from (select *, {QUARTER_SQL} as q from orders) as a) as b where place = 1"""
-VERSIONS_SQL = f"""(with s as (select *, md5(concat_ws('|', o_orderstatus, o_orderpriority)) as h from ({STATES_SQL}) as t0),
-  m as (select *, lag(h) over (partition by o_custkey order by q) as ph from s),
-  v as (select *, lead(q) over (partition by o_custkey order by q) as nq from m where ph is distinct from h),
-  l as (select o_custkey, max(q) as lq from s group by 1),
-  r as (select q, lead(q) over (order by q) as nr from (select distinct q from s) as d)
-  select md5(cast(v.o_custkey as varchar) || '|' || cast(v.q as varchar)) as version_key, v.o_custkey, v.o_orderstatus, v.o_orderpriority, v.rating,
-  v.h as attr_hash, v.q as valid_from, coalesce(v.nq, r.nr) as valid_to, coalesce(v.nq, r.nr) is null as is_current
-  from v join l on l.o_custkey = v.o_custkey left join r on r.q = l.lq)"""
+# Runs of quarters with one digest, numbered by how often the digest changed so far; a run lasts until the next one starts
+# or, for the last, until the first quarter of the table after the customer's last.
+VERSIONS_SQL = f"""(with states as (select *, md5(concat_ws('|', o_orderstatus, o_orderpriority)) as attr_hash from ({STATES_SQL}) as raw),
+  compared as (select a.*, not exists (select 1 from states as b where b.o_custkey = a.o_custkey and b.attr_hash = a.attr_hash
+    and b.q = (select max(c.q) from states as c where c.o_custkey = a.o_custkey and c.q < a.q)) as changed from states as a),
+  runs as (select *, count(*) filter (where changed) over (partition by o_custkey order by q) as run from compared),
+  spans as (select o_custkey, run, min(q) as valid_from, max(q) as seen_until from runs group by 1, 2)
+  select md5(cast(r.o_custkey as varchar) || '|' || cast(r.q as varchar)) as version_key, r.o_custkey, r.o_orderstatus, r.o_orderpriority, r.rating,
+  r.attr_hash, r.q as valid_from, e.valid_to, e.valid_to is null as is_current
+  from runs as r join (select s.o_custkey, s.valid_from, coalesce(min(f.valid_from), min(g.q)) as valid_to from spans as s
+      left join spans as f on f.o_custkey = s.o_custkey and f.run = s.run + 1
+      left join (select distinct q from states) as g on g.q > s.seen_until group by 1, 2) as e
+    on e.o_custkey = r.o_custkey and e.valid_from = r.q)"""
 
 
 def customer_states(c):
@@ -186,7 +191,9 @@ def _(c):
     return history.value_changes(customer_versions(c), "o_custkey", "rating", ["o_orderstatus"])
 
 
-@query("customer_tiling", "K07 F09", "select 0 as faults")
+@query("customer_tiling", "K07 F09", f"""select cast(count(*) filter (where covered <> lasted) as integer) as faults from (
+  select o_custkey, sum(coalesce(valid_to, date '2100-01-01') - valid_from) as covered,
+  max(coalesce(valid_to, date '2100-01-01')) - min(valid_from) as lasted from {VERSIONS_SQL} as x group by 1) as c""")
 def _(c):
     return tests.tiling_faults(customer_versions(c), "o_custkey").agg(F.count(F.lit(1)).cast("int").alias("faults"))
 
@@ -226,17 +233,17 @@ def _(c):
     return tests.duplicate_keys(c.table("conversations"), ["conv_id", "turn"])
 
 
-@query("labels_without_document", "D11 K04", "select * from labels where doc_id is not null and doc_id not in (select doc_id from documents where lang <> 'fr')")
+@query("labels_without_document", "D11 K04", "select * from labels where doc_id is not null and doc_id not in (select case when lang = 'fr' then -1 - doc_id else doc_id end from documents)")
 def _(c):
-    return tests.orphan_rows(c.table("labels"), "doc_id", c.table("documents").where("lang <> 'fr'"), "doc_id")
+    return tests.orphan_rows(c.table("labels"), "doc_id", c.table("documents").withColumn("doc_id", F.expr("case when lang = 'fr' then -1 - doc_id else doc_id end")), "doc_id")
 
 
 @query("customers_without_orders", "D09 K08", """select coalesce(c.k, o.k) as k, case when c.k is null then 'left' else 'right' end as missing_from
-  from (select c_custkey as k from customer where c_acctbal > 0) as c full outer join (select distinct o_custkey as k from orders where o_orderstatus = 'P') as o on o.k = c.k
+  from (select case when c_acctbal > 0 then c_custkey else -c_custkey end as k from customer) as c full outer join (select distinct o_custkey as k from orders) as o on o.k = c.k
   where c.k is null or o.k is null""")
 def _(c):
-    customers = c.table("customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("k"))
-    buyers = c.table("orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("k")).distinct()
+    customers = c.table("customer").select(F.expr("case when c_acctbal > 0 then c_custkey else -c_custkey end").alias("k"))
+    buyers = c.table("orders").select(F.col("o_custkey").alias("k")).distinct()
     return tests.not_in_both(customers, buyers, "k")
 
 

@@ -18,7 +18,6 @@ from bindings import feeds
 from tidemark.plans import gold, silver
 from tidemark.session import shared_folder
 from tidemark.sources.feeds import measure_catalog, state_regions
-from tidemark.sources.landing import spread
 
 _OPEN: dict[tuple[str, str], Chain] = {}
 
@@ -43,7 +42,7 @@ class Chain:
     def bronze(self, feed: str) -> DataFrame:
         """A landed feed: all rows derived from the test tables, stored once."""
         if feed not in self._landed:
-            self._landed[feed] = self._stored(f"bronze/{feed}", lambda: spread(feeds.bronze(self.spark, self.sf_dir, feed)))
+            self._landed[feed] = self._stored(f"bronze/{feed}", lambda: feeds.bronze(self.spark, self.sf_dir, feed))
         return self._landed[feed]
 
     def scratch(self, name: str) -> str:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -15,6 +16,7 @@ def spark():
     session = get_session("tests", "local[4]", **{
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tests-"),
         # Tests run many small plans once each; compiling them would take most of the time.
         "spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"})
     session.sparkContext.setLogLevel("ERROR")

@@ -84,7 +84,8 @@ def check_events(results: DataFrame, run_id: str, at: Column) -> DataFrame:
 
 
 def latest_check_results(log: DataFrame) -> DataFrame:
-    return log.where(F.col("run_id") == log.agg(F.max("run_id")).scalar())
+    newest = log.agg(F.max_by("run_id", F.struct("checked_at", "run_id"))).scalar()
+    return log.where(F.col("run_id") == newest)
 
 
 def task_tables(tasks: DataFrame, task: str) -> DataFrame:

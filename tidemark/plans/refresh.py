@@ -54,7 +54,8 @@ def now() -> datetime:
 
 
 def new_run_id() -> str:
-    return f"{now():%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:6]}"
+    """Ids carry no order; times are columns of the logs."""
+    return f"refresh-{uuid.uuid4()}"
 
 
 def land(spark: SparkSession, folders: Lake, dataset: str, release: str, rows: DataFrame, run_id: str,
@@ -132,7 +133,7 @@ def refresh(spark: SparkSession, root: str, as_of: str, source: str = "files", t
         try:
             rows, details = work()
         except Exception as error:
-            status, details = "failed", {"error": repr(error)[:500]}
+            status, details = "failed", {"error": repr(error)}
             raise
         finally:
             event = oplog.task_event(spark, run_id, task, started, now(), status, rows, json.dumps(details))
@@ -161,7 +162,7 @@ def refresh(spark: SparkSession, root: str, as_of: str, source: str = "files", t
         step("checks", checks)
         step("gold_and_publish", publish)
     except Exception as error:
-        failed = oplog.run_event(spark, run_id, source, trigger, "failed", now(), repr(error)[:1000])
+        failed = oplog.run_event(spark, run_id, source, trigger, "failed", now(), repr(error))
         oplog.append(failed, folders.ops, "pipeline_runs")
         raise
     oplog.append(oplog.run_event(spark, run_id, source, trigger, "success", now()), folders.ops, "pipeline_runs")

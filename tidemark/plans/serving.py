@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fv
 from tidemark.functions import labels
 from tidemark.functions.numeric import exact_mean, percent
 from tidemark.operators.newest import latest_slice
-from tidemark.operators.ranks import group_quantiles
+from tidemark.operators.ranks import descending_rank, group_quantiles
 from tidemark.operators.shape import equal_width_histogram
 
 MIN_SUPPORT = 5
@@ -81,6 +81,18 @@ def ranked(found: DataFrame) -> DataFrame:
     return found.orderBy(*best_first())
 
 
+def placed(found: DataFrame) -> DataFrame:
+    """Place of every hospital in the ranking, ties sharing one.
+
+    Composites have one decimal and ratings are 1 to 5, so there are few distinct
+    pairs to count, however many hospitals there are.
+    """
+    pair = F.coalesce(F.round(F.col("outcome_composite") * 10), F.lit(-1)) * 10 + F.coalesce("overall_rating", F.lit(0))
+    counted = descending_rank(found.withColumn("_all", F.lit(1)).withColumn("_pair", pair), ["_all"], "_pair", "place",
+                              ["facility_id"], few_values=True)
+    return counted.select("facility_id", "place")
+
+
 def explorer_table(found: DataFrame) -> DataFrame:
     return ranked(found).select(
         "facility_id", "facility_name", "state", "hospital_type", "ownership_group",
@@ -169,9 +181,8 @@ def last_success(runs: DataFrame) -> DataFrame:
 def task_durations(tasks: DataFrame, run_id: str | None = None) -> DataFrame:
     """Seconds per task and their total per run."""
     tasks = tasks if run_id is None else tasks.where(F.col("run_id") == run_id)
-    totals = tasks.groupBy("run_id").agg(exact_mean(F.col("duration_s"), 3).alias("_mean"),
-                                         F.sum(F.col("duration_s").cast("decimal(28,3)")).cast("double").alias("run_s"))
-    return tasks.select("run_id", "task", "status", "duration_s").join(totals.drop("_mean"), "run_id")
+    total = F.sum(F.col("duration_s").cast("decimal(28,3)")).over(Window.partitionBy("run_id")).cast("double")
+    return tasks.select("run_id", "task", "status", "duration_s", total.alias("run_s"))
 
 
 def check_outcome() -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -29,19 +28,11 @@ def get_session(app_name: str = "tidemark", master: str | None = None, **setting
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
-
-    Only where the setting is absent (tests, a laptop) a local folder is made,
-    and a session that is not local refuses to guess.
-    """
+    """The folder every executor can reach, as ``spark.checkpoint.dir`` names it; nothing is guessed."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder.rstrip("/")
 
 
 def together(spark: SparkSession, *works: Callable[[], object]) -> list:

@@ -87,17 +87,6 @@ def to_bronze(rows: DataFrame, run_id: str, release: str | Column, source: str,
         moment.cast("string").alias("_ingested_at"), release.cast("string").alias("_release_date"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread rows that come from fewer files than the cluster has slots.
-
-    A small file is read by one task, however many could share the work that
-    follows.  Larger inputs come in enough files and stay as they are.  Only
-    the file listing is looked at; nothing runs.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if len(df.inputFiles()) < slots else df
-
-
 def refuse_empty(df: DataFrame, what: str) -> DataFrame:
     if df.isEmpty():
         raise EmptyFeedError(f"{what}: the source delivered no rows")
