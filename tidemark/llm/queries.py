@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import chat, decontaminate, language, near_duplicates, pieces, repeated_units, sharding, token_files, toxicity, vector_duplicates
+from tidemark.llm.sql import SQL  # noqa: F401
 
 SHARDS = 40
 
@@ -113,4 +114,3 @@ def op10_repeated_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_sharding, op2_token_files, op3_decontamination, op4_chat, op5_language, op6_near_duplicates,
                             op7_toxicity, op8_pieces, op9_near_vectors, op10_repeated_units)}
-SQL: dict[str, str] = {}
