@@ -117,7 +117,7 @@ def _(c):
 @query("price_percent_rank", "F06", """select l_linestatus, l_extendedprice, max(pr) as pr, count(*) as n_eq from (
   select l_linestatus, l_extendedprice, percent_rank() over (partition by l_linestatus order by l_extendedprice) as pr from lineitem) as t group by 1, 2""")
 def _(c):
-    counts = ranks.ordered_counts(c.table("lineitem"), ["l_linestatus"], "l_extendedprice", values_per_piece=500)
+    counts = ranks.ordered_counts(c.table("lineitem"), ["l_linestatus"], "l_extendedprice")
     return counts.select("l_linestatus", "l_extendedprice", ranks.percent_rank_from_counts().alias("pr"), "n_eq")
 
 

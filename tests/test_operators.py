@@ -1,6 +1,7 @@
 import datetime as dt
 import math
 import random
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 
 import pytest
@@ -62,17 +63,35 @@ def brute_counts(rows):
     return result
 
 
-@pytest.mark.parametrize("piece", [3, 200_000])
-def test_ordered_counts_by_brute_force(spark, piece):
+@pytest.mark.parametrize("pieces", [1, 40])
+def test_ordered_counts_by_brute_force(spark, pieces):
     rng = random.Random(3)
     rows = [("hot", 0.0)] * 400 + [("hot", 100 + rng.random() / 1000) for _ in range(300)]
     rows += [("hot", v) for v in (1e300, -1e300, float("inf"), float("-inf"), float("nan"), 5e-324, -7.5)]
     rows += [("small", float(rng.randint(-5, 5))) for _ in range(60)] + [(None, 1.0), (None, 2.0), ("one", 4.0), ("none", None)]
     df = spark.createDataFrame(rows, "g string, v double").repartition(5)
-    got = {(r.g, repr(r.v)): (r.n_eq, r.n_lt, r.n_total) for r in ranks.ordered_counts(df, ["g"], "v", piece).collect()}
+    got = {(r.g, repr(r.v)): (r.n_eq, r.n_lt, r.n_total) for r in ranks.ordered_counts(df, ["g"], "v", pieces).collect()}
     assert got == brute_counts(rows)
 
 
+@pytest.mark.parametrize("values", [
+    lambda rng: rng.random() / 1e7 + (0.01 if rng.random() < 0.0001 else 0),       # a narrow band and outliers
+    lambda rng: rng.choice([1.0, 2.0, 3.0]) if rng.random() < 0.8 else rng.random(),  # heavy ties
+    lambda rng: rng.lognormvariate(0, 9),
+])
+def test_no_piece_holds_much_more_than_its_share(spark, values):
+    """Nine tenths of the rows are one group; the largest piece stays within four times the mean."""
+    rng = random.Random(2)
+    rows = [("hot" if i % 10 else f"g{i % 70}", values(rng)) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    found = ranks.value_pieces(df, ["g"], "v", 20)
+    sizes = [r["count"] for r in found.groupBy("_piece").count().collect()]
+    assert max(sizes) <= 4 * found.count() / 20
+    hot = sorted(v for g, v in rows if g == "hot")
+    for r in ranks.ordered_counts(df, ["g"], "v", 20).where("g = 'hot'").collect():
+        assert (r.n_lt, r.n_lt + r.n_eq, r.n_total) == (bisect_left(hot, r.v), bisect_right(hot, r.v), len(hot))
+
+
 def test_quantiles_and_ranks_equal_the_built_in_forms(spark):
     rng = random.Random(11)
     rows = [(i % 5, round(rng.lognormvariate(1, 2), 1)) for i in range(3000)] + [(9, 3.5)]

@@ -5,71 +5,56 @@ dozen measures a group is a large share of the table, so both are derived here
 from one table of distinct values with exact counts below each value:
 
 1. count rows per (group, value); equal values meet in the map tasks
-2. cut every group into value ranges: a coarse logarithmic step first, then
-   each step that holds many values into equal pieces of its own span
+2. lay the distinct values out by range into pieces of similar size, however
+   the values are spread, and store them with the number of their piece
 3. running totals of the pieces give how many rows lie before each piece, and
    a window inside one piece completes the count
 
-No step sends a group to one task, and all cuts are functions of the values,
-so a recomputed task makes the same pieces.
+No step sends a group to one task.  The ranges come from a sample, so they are
+stored before use: a task that is run again reads the piece it belongs to.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Distinct values a single window task sorts at most when values spread evenly
-# over their piece; a piece is cut from a step that spans 1/64 in log scale.
-VALUES_PER_PIECE = 200_000
+from tidemark.session import shared_folder
 
 
-def _coarse_step(x: Column) -> Column:
-    step = F.signum(x) * F.log1p(F.abs(x)) * F.lit(64.0)
-    clamped = F.least(F.greatest(step, F.lit(-100000.0)), F.lit(100000.0))
-    step = F.when(F.isnan(x), F.lit(200000)).otherwise(F.floor(clamped).cast("int"))
-    return F.coalesce(step, F.lit(0))
+def value_pieces(df: DataFrame, groups: Sequence[str], value: str, pieces: int | None = None) -> DataFrame:
+    """Distinct values ``(_g, _v, n_eq, _piece)``, stored; pieces follow each other by group and value.
 
+    Without a number of pieces there are as many as shuffle partitions, or fewer
+    where adaptive execution gathers small ones.
+    """
+    counts = (df.where(F.col(value).isNotNull())
+                .groupBy(F.struct(*groups).alias("_g"), F.col(value).alias("_v"))
+                .agg(F.count(F.lit(1)).alias("n_eq")))
+    laid = counts.repartitionByRange("_g", "_v") if pieces is None else counts.repartitionByRange(pieces, "_g", "_v")
+    placed = laid.withColumn("_piece", F.spark_partition_id())
+    path = f"{shared_folder(df.sparkSession)}/tidemark/pieces-{uuid.uuid4().hex}"
+    placed.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(placed.schema).parquet(path)
 
-def ordered_counts(df: DataFrame, groups: Sequence[str], value: str,
-                   values_per_piece: int = VALUES_PER_PIECE) -> DataFrame:
+
+def ordered_counts(df: DataFrame, groups: Sequence[str], value: str, pieces: int | None = None) -> DataFrame:
     """One row per (group, distinct value) with ``n_eq``, ``n_lt`` and ``n_total`` rows.
 
     NULL values are left out; ``value`` is numeric.
     """
-    x = F.col("_v").cast("double")
-    counts = (df.where(F.col(value).isNotNull())
-                .groupBy(F.struct(*groups).alias("_g"), F.col(value).alias("_v"))
-                .agg(F.count(F.lit(1)).alias("n_eq"))
-                .withColumn("_step", _coarse_step(x)))
-    # The aggregates keep every column of what they read, so both uses of a shuffle
-    # ask for the same columns and Spark runs it once.
-    steps = (counts.groupBy("_g", "_step")
-                   .agg(F.count(F.lit(1)).alias("_values"), F.min(x).alias("_low"), F.max(x).alias("_high"),
-                        F.sum("n_eq").alias("_step_rows"))
-                   .where(F.col("_step_rows") > 0)
-                   .withColumn("_pieces", F.ceil(F.col("_values") / F.lit(float(values_per_piece))).cast("int")))
-    share = F.try_divide(x - F.col("_low"), F.col("_high") - F.col("_low"))
-    piece = (F.when((F.col("_pieces") > 1) & (F.col("_high") > F.col("_low")),
-                    F.least(F.floor(share * F.col("_pieces")).cast("int"), F.col("_pieces") - 1))
-              .otherwise(0))
-    placed = (counts.join(steps.drop("_step_rows"), ["_g", "_step"])
-                    .select("_g", "_step", F.coalesce(piece, F.lit(0)).alias("_piece"), "_v", "n_eq")
-                    .repartition("_g", "_step", "_piece"))
-
-    before = Window.partitionBy("_g").orderBy("_step", "_piece").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (placed.groupBy("_g", "_step", "_piece")
-                     .agg(F.sum("n_eq").alias("_rows"), F.count("_v").alias("_distinct"))
-                     .where(F.col("_distinct") > 0)
-                     .select("_g", "_step", "_piece",
-                             F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
-                             F.sum("_rows").over(Window.partitionBy("_g")).alias("n_total")))
-    inside = (Window.partitionBy("_g", "_step", "_piece").orderBy("_v")
-                    .rowsBetween(Window.unboundedPreceding, -1))
+    placed = value_pieces(df, groups, value, pieces)
+    group = Window.partitionBy("_g")
+    before = group.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (placed.groupBy("_g", "_piece").agg(F.sum("n_eq").alias("_rows"))
+                     .select("_g", "_piece", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
+                             F.sum("_rows").over(group).alias("n_total")))
+    inside = Window.partitionBy("_g", "_piece").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     return (placed.withColumn("_inside", F.coalesce(F.sum("n_eq").over(inside), F.lit(0)))
-                  .join(offsets, ["_g", "_step", "_piece"])
+                  .join(offsets, ["_g", "_piece"])
                   .select(*[F.col("_g")[g].alias(g) for g in groups], F.col("_v").alias(value), "n_eq",
                           (F.col("_before") + F.col("_inside")).alias("n_lt"), "n_total"))
 
