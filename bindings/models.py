@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bindings import oracle
@@ -10,6 +13,7 @@ from tidemark import fixed_values as fv
 from tidemark.functions import labels
 from tidemark.operators import tests
 from tidemark.plans import gold, serving, silver
+from tidemark.sources.feeds import DIM_HOSPITAL_CONTRACT
 
 
 def no_ingest(df):
@@ -225,12 +229,17 @@ def _(c):
     return tests.wrong_direction(c.facts, "domain", "diff_from_national_median")
 
 
-@query("test_contract", "K10", "select 0 as faults, count(*) filter (where facility_id is null) as null_ids from dim")
+@query("test_contract", "K10", """select 'as built' as version, 'facility_id' as "column", count(*) filter (where facility_id is null) as nulls, 0 as faults from dim
+  union all select 'broken', 'facility_id', count(*) filter (where overall_rating = 3 or facility_id is null), 2 from dim""")
 def _(c):
-    from tidemark.sources.feeds import DIM_HOSPITAL_CONTRACT
+    """The dimension as built, and with ids lost, a column renamed and a column of another type."""
     dim = gold.dim_hospital(c.stg_hospitals, c.regions)
-    faults = tests.contract_faults(dim, DIM_HOSPITAL_CONTRACT)
-    return dim.agg(F.lit(len(faults)).alias("faults"), F.count_if(F.col("facility_id").isNull()).alias("null_ids"))
+    broken = (dim.withColumn("facility_id", F.when(~F.col("overall_rating").eqNullSafe(3), F.col("facility_id")))
+              .withColumn("overall_rating", F.col("overall_rating").cast("string")).withColumnRenamed("city", "town"))
+    return reduce(DataFrame.unionByName, [
+        tests.null_counts(df, DIM_HOSPITAL_CONTRACT).select(
+            F.lit(name).alias("version"), "column", "nulls", F.lit(len(tests.contract_faults(df, DIM_HOSPITAL_CONTRACT))).alias("faults"))
+        for name, df in (("as built", dim), ("broken", broken))])
 
 
 # --- serving --------------------------------------------------------------------------

@@ -100,6 +100,8 @@ def test_dimension_contract(spark):
     dim = gold.dim_hospital(stg, state_regions(spark))
     assert tests.contract_faults(dim, DIM_HOSPITAL_CONTRACT) == []
     assert tests.contract_faults(dim.drop("city"), DIM_HOSPITAL_CONTRACT)
+    lost = dim.unionByName(dim.withColumn("facility_id", F.lit(None).cast("string")))
+    assert [tuple(r) for r in tests.null_counts(lost, DIM_HOSPITAL_CONTRACT).collect()] == [("facility_id", 1)]
     row = dicts(dim)[0]
     assert dim.count() == 1 and row["census_region"] == "West" and row["release_date"] == dt.date(2026, 1, 1)
 

@@ -2,6 +2,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import dicts
@@ -184,6 +185,8 @@ def test_two_releases_end_to_end(spark, tmp_path):
     assert spark.sql("select count(*) from mart_state_summary where state = 'CA'").first()[0] == 1
 
     third = job.refresh(spark, root, as_of="2026-08-01")     # nothing new
+    with pytest.raises(AnalysisException):                    # a published version is not written again
+        lake.Snapshot(spark, folders.marts, first).put("dim_hospital", tables["dim_hospital"].limit(1))
     again = lake.open_snapshot(spark, folders.marts)
     assert again["fct_measure_scores"].count() == 96
     old = lake.open_snapshot(spark, folders.marts, first)     # an earlier version stays readable

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,16 +20,21 @@ class Routed:
     bad: DataFrame
 
 
+def broken_rules(rules: dict[str, Column]) -> Column:
+    """Array of the names of the rules that a row does not clearly keep, in rule order."""
+    kept = F.array(*[F.struct(F.lit(name).alias("rule"), F.coalesce(ok, F.lit(False)).alias("kept")) for name, ok in rules.items()])
+    return F.transform(F.filter(kept, lambda r: ~r["kept"]), lambda r: r["rule"])
+
+
 def reject_reasons(rules: dict[str, Column]) -> Column:
-    """Names of the rules a row breaks, in rule order; an unknown outcome breaks the rule."""
-    return F.concat_ws(";", *[F.when(F.coalesce(ok, F.lit(False)), F.lit(None).cast("string")).otherwise(name)
-                              for name, ok in rules.items()])
+    """Names of the rules a row breaks, as text; empty if it keeps them all."""
+    return F.array_join(broken_rules(rules), ";")
 
 
 def route(df: DataFrame, rules: dict[str, Column]) -> Routed:
-    """Rows that keep every rule, and the others with their reasons."""
-    marked = df.withColumn(REASON, reject_reasons(rules))
-    return Routed(marked.where(F.col(REASON) == "").drop(REASON), marked.where(F.col(REASON) != ""))
+    """Rows that keep every rule, and the others with their reasons; only these get the text."""
+    all_kept = reduce(and_, (F.coalesce(ok, F.lit(False)) for ok in rules.values()), F.lit(True))
+    return Routed(df.where(all_kept), df.where(~all_kept).withColumn(REASON, reject_reasons(rules)))
 
 
 def key_rules(id_column: str = "facility_id", state_column: str = "state") -> dict[str, Column]:

@@ -63,7 +63,7 @@ def wrong_direction(df: DataFrame, group: str, difference: str, category: str =
 
 
 def contract_faults(df: DataFrame, contract: T.StructType) -> list[str]:
-    """Differences in names, order, types and declared non-NULL columns; metadata only."""
+    """Differences in names, order and types, from the schema alone."""
     faults = []
     if df.columns != contract.names:
         faults.append(f"columns {df.columns} are not {contract.names}")
@@ -74,11 +74,19 @@ def contract_faults(df: DataFrame, contract: T.StructType) -> list[str]:
     return faults
 
 
+def null_counts(df: DataFrame, contract: T.StructType) -> DataFrame:
+    """``(column, nulls)`` for every column that the contract declares as never NULL, in one pass."""
+    names = [f.name for f in contract.fields if not f.nullable and f.name in df.columns]
+    counted = df.agg(*[F.count_if(F.col(n).isNull()).alias(n) for n in names])
+    rows = F.array(*[F.struct(F.lit(n).alias("column"), F.col(n).alias("nulls")) for n in names])
+    return counted.select(F.explode(rows).alias("r")).select("r.*")
+
+
 def graded(fault_count: Column, warn_above: int = 0, error_above: int | None = None) -> Column:
     """``pass``, ``warn`` or ``error`` for a number of offending rows."""
     grade = F.when(fault_count > error_above, "error") if error_above is not None else F.when(F.lit(False), "error")
     return grade.when(fault_count > warn_above, "warn").otherwise("pass")
 
 
-__all__ = ["contract_faults", "duplicate_keys", "graded", "not_in_both", "null_rows", "orphan_rows",
+__all__ = ["contract_faults", "duplicate_keys", "graded", "not_in_both", "null_counts", "null_rows", "orphan_rows",
            "out_of_range", "repeated_values", "tiling_faults", "unexpected_values", "wrong_direction"]

@@ -104,11 +104,14 @@ class Snapshot:
         self.tables: dict[str, DataFrame] = {}
 
     def put(self, name: str, table: DataFrame, partitions: Sequence[str] = ()) -> DataFrame:
-        """Write one table; with ``partitions``, questions about one release open only its folder."""
+        """Write one table; with ``partitions``, questions about one release open only its folder.
+
+        A table that this version already has is refused: what was published stays as it was.
+        """
         path = f"{self.folder}/version={self.version}/{name}"
         columns = table.columns
         rows = table.hint("rebalance", *partitions) if partitions else table
-        (rows.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).option("compression", "zstd")
+        (rows.write.mode("error").option("maxRecordsPerFile", ROWS_PER_FILE).option("compression", "zstd")
              .partitionBy(*partitions).parquet(path))
         self.tables[name] = self.spark.read.schema(table.schema).parquet(path).select(*columns)
         return self.tables[name]
