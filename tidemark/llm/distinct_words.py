@@ -9,18 +9,26 @@ from typing import Any
 class WordMemory:
     """``found[word]`` for the words of the latest :meth:`learn`; ``work`` maps a list of new words to their values.
 
-    The memory starts anew once it holds ``most`` words or ``most * 32``
-    characters, so a corpus of any size needs the same space.
+    Once it holds ``most`` words or ``most * 32`` characters, the memory starts
+    anew; with ``keep``, words of the memory before are taken over when they are
+    used again.  A corpus of any size needs the same space.
     """
 
-    def __init__(self, work: Callable[[list[str]], Sequence[Any]], most: int = 400_000) -> None:
-        self.work, self.most, self.found, self.size = work, most, {}, 0
+    def __init__(self, work: Callable[[list[str]], Sequence[Any]], most: int = 400_000, keep: bool = True) -> None:
+        self.work, self.most, self.keep = work, most, keep
+        self.forget()
+
+    def forget(self) -> None:
+        self.found, self.before, self.size = {}, {}, 0
 
     def learn(self, words: Iterable[str]) -> dict[str, Any]:
         if len(self.found) > self.most or self.size > 32 * self.most:
-            self.found, self.size = {}, 0
-        new = list(set(words).difference(self.found))
+            self.found, self.before, self.size = {}, self.found if self.keep else {}, 0
+        new = set(words).difference(self.found)
         if new:
-            self.found.update(zip(new, self.work(new), strict=True))
+            known = new.intersection(self.before)
+            self.found.update((w, self.before[w]) for w in known)
+            fresh = list(new - known)
+            self.found.update(zip(fresh, self.work(fresh), strict=True) if fresh else ())
             self.size += sum(map(len, new))
         return self.found

@@ -48,15 +48,16 @@ def byte_bpe(path: str, dtype: str) -> Callable[[list[str]], list[bytes]]:
     edged: set[str] = set()                                # words with white space where two cuts could part a run of it
 
     def ids_of(words: list[str]) -> list[bytes]:
-        if not memory.found:
-            edged.clear()
         edged.update(w for w in words if w[1:].strip() != w[1:] or w == " ")
         return [array(code, [t.id for piece in pieces.findall(w)
                              for t in merge(piece.encode().decode("latin-1").translate(letters))]).tobytes() for w in words]
 
-    memory = WordMemory(ids_of, 800_000)
+    memory = WordMemory(ids_of, 500_000)
 
     def encode(texts: list[str]) -> list[bytes]:
+        if len(edged) > memory.most:
+            edged.clear()
+            memory.forget()
         cut = [[first, *[" " + w for w in others]] for first, *others in (t.split(" ") for t in texts)]
         memory.learn(chain.from_iterable(cut))
         if edged:
@@ -71,6 +72,16 @@ def byte_bpe(path: str, dtype: str) -> Callable[[list[str]], list[bytes]]:
     return encode
 
 
+_ENCODERS: dict[tuple[str, str], Callable[[list[str]], list[bytes]]] = {}
+
+
+def process_encoder(path: str, dtype: str) -> Callable[[list[str]], list[bytes]]:
+    """The process's encoder: what it has learned serves later tasks."""
+    if (path, dtype) not in _ENCODERS:
+        _ENCODERS[path, dtype] = byte_bpe(path, dtype)
+    return _ENCODERS[path, dtype]
+
+
 def id_type(vocabulary: int) -> str:
     return "<u2" if vocabulary <= 2**16 else "<u4"
 
@@ -178,6 +189,6 @@ def token_digests(docs: DataFrame, tokenizer_path: str, end_id: int, vocabulary:
                   text_col: str = "text") -> DataFrame:
     """``(doc_id, start, n_tokens, ids_crc32)`` per document, as read back from files written for ``docs``."""
     folder, dtype = new_folder(docs.sparkSession, "tokens"), id_type(vocabulary)
-    write_tokens(docs, folder, lambda: byte_bpe(tokenizer_path, dtype), dtype, end_id, id_col, text_col)
+    write_tokens(docs, folder, lambda: process_encoder(tokenizer_path, dtype), dtype, end_id, id_col, text_col)
     read = read_tokens(docs.sparkSession, folder, docs.schema[id_col].dataType.simpleString())
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
