@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from hashlib import sha256
 from itertools import chain
 
 import numpy as np
@@ -33,6 +34,11 @@ class Network:
         self.weights["out"] = rng.normal(0, (2 * hidden)**-0.5, (2 * hidden, len(self.labels))).astype(np.float32)
         self.weights["bias"] = np.zeros(len(self.labels), np.float32)
 
+    def digest(self) -> str:
+        """Name of the labels and weights."""
+        parts = [repr(self.labels).encode(), *[w.tobytes() for _, w in sorted(self.weights.items())]]
+        return sha256(b"".join(parts)).hexdigest()
+
     def _run(self, side: str, x: np.ndarray, keep: list | None = None) -> np.ndarray:
         """States by time for symbols by time; ``keep`` collects what going back needs."""
         h, u = self.hidden, self.weights[f"{side}_state"]
@@ -164,7 +170,7 @@ def predictor(network: Network) -> Callable[[Sequence[str | None]], list[tuple[s
         rows[0] = np.concatenate([rows[0] if memory.found else rows[0][:0], network.sums(words)])
         return range(len(rows[0]) - len(words), len(rows[0]))
 
-    memory = WordMemory(work, 400_000)
+    memory = WordMemory(work, 400_000, keep=False)
 
     def predict(texts: Sequence[str | None]) -> list[tuple[str, float]]:
         cut = [(t or "").split() for t in texts]
@@ -182,6 +188,18 @@ def predictor(network: Network) -> Callable[[Sequence[str | None]], list[tuple[s
     return predict
 
 
+_PREDICTORS: dict[str, Callable[[Sequence[str | None]], list[tuple[str, float]]]] = {}
+
+
+def process_predictor(network: Network) -> Callable[[Sequence[str | None]], list[tuple[str, float]]]:
+    """The process's predictor for these weights: what it has learned serves later tasks."""
+    name = network.digest()
+    if name not in _PREDICTORS:
+        _PREDICTORS.clear()
+        _PREDICTORS[name] = predictor(network)
+    return _PREDICTORS[name]
+
+
 def with_language(docs: DataFrame, network: Network, text_col: str = "text", label: str = "lang_pred", score: str = "score") -> DataFrame:
     """``docs`` with the predicted language and its score (0 to 1).
 
@@ -198,7 +216,7 @@ def with_language(docs: DataFrame, network: Network, text_col: str = "text", lab
     at = docs.columns.index(text_col)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        predict = predictor(network)
+        predict = process_predictor(network)
         for batch in batches:
             for k in range(0, batch.num_rows, 512):
                 part = batch.slice(k, 512)

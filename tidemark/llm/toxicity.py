@@ -177,6 +177,18 @@ def _packed(text: str) -> bytes:
     return np.unique(np.fromiter(chain.from_iterable(map(features_of, words_of(text))), np.int64)).astype("<i4").tobytes()
 
 
+_SCORERS: dict[str, Callable[[Sequence[str | None]], list[float]]] = {}
+
+
+def _process_scorer(classifier: Classifier) -> Callable[[Sequence[str | None]], list[float]]:
+    """The process's scorer for these weights: what it has learned serves later tasks."""
+    name = xxhash.xxh3_128_hexdigest(classifier.weights.tobytes() + repr(classifier.bias).encode())
+    if name not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[name] = classifier.scorer()
+    return _SCORERS[name]
+
+
 def with_toxicity(docs: DataFrame, classifier: Classifier, text_col: str = "text", score: str = "score") -> DataFrame:
     """``docs`` with a score (0 to 1) of the whole text.
 
@@ -190,7 +202,7 @@ def with_toxicity(docs: DataFrame, classifier: Classifier, text_col: str = "text
     at = docs.columns.index(text_col)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scored = classifier.scorer()
+        scored = _process_scorer(classifier)
         for batch in batches:
             for k in range(0, batch.num_rows, 512):
                 part = batch.slice(k, 512)
