@@ -202,3 +202,17 @@ def test_repeats_with_null_and_equal_ids(docs_of):
     line = "one two three four five"
     rows = without_repeats(docs_of([(None, line), (2, line), (2, line)])).collect()
     assert sorted((r.doc_id or 9, r.text) for r in rows) == [(2, line), (2, line), (9, "")]
+
+
+def test_large_buckets_go_on_in_blocks(docs_of, monkeypatch):
+    """Copies that are near a common text but often not near each other."""
+    monkeypatch.setattr("tidemark.llm.near_duplicates.PIVOTS", (1, 2))
+    monkeypatch.setattr("tidemark.llm.near_duplicates.BLOCK", 7)
+    rng, texts = random.Random(5), []
+    for n in (60, 150):
+        words = [f"w{rng.randrange(5000)}" for _ in range(n)]
+        texts += [edited(words, rng.randrange(0, n // 14), rng) for _ in range(70)]
+    rng.shuffle(texts)
+    docs = list(enumerate(texts))
+    got = {k: (r["n_shingles"], r["component_id"], r["kept"]) for k, r in by_id(near_duplicates(docs_of(docs), width=2)).items()}
+    assert got == brute_groups(docs, 2)
