@@ -155,7 +155,7 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                                   F.lit(characters)).alias("part"))
               .withColumn("place", F.row_number().over(order)).where(F.col("place") <= texts)
               .orderBy("label", "place").select("label", "part"))
-    rows = chosen.collect()                                        # at most ``texts`` short stretches per language
+    rows = [r for r in chosen.collect() if r.part.split()]         # at most ``texts`` short stretches per language
     labels = sorted({r.label for r in rows})
     pairs = [(w.encode("utf-8", "surrogatepass")[:PART], labels.index(r.label)) for r in rows for w in r.part.split()]
     network = Network(labels)

@@ -81,7 +81,7 @@ class Classifier:
         more = [(np.setdiff1d(a, b), np.setdiff1d(b, a)) for a, b in pairs]
         lost, gained = _Rows([m[0] for m in more]), _Rows([m[1] for m in more])
         w, bias, ahead, bias_ahead, pace = self.weights, 0.0, self.weights.copy(), 0.0, 1.0
-        step = 4.0 / (1 + x.spread() + 4 * self.fair * (lost.spread() + gained.spread()))
+        step = 4.0 / (1 + x.spread() + 16 * self.fair * (lost.spread() + gained.spread()))
         for _ in range(self.steps):
             slope_of = (1 / (1 + np.exp(-(x.dot(ahead) + bias_ahead))) - y) / len(y)
             slope = x.back(slope_of)
