@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -15,6 +16,8 @@ from tidemark.llm.store import keys_of, stored
 from tidemark.llm.words import mixed, shingles
 
 HASHES, BANDS, SEED = 128, 32, 20261
+#: Members of a bucket that are compared with its other members one by one; larger buckets go on in blocks.
+PIVOTS, BLOCK = (1, 4), 200
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
@@ -27,9 +30,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member of a class is compared.  Candidates are pairs that agree in a band of
     four of the 128 minima: a pair at the threshold of 0.8 is missed with
     probability (1 - 0.8^4)^32 < 1e-7.  Pairs within a band's bucket are not
-    listed; its members are compared with a few pivots of the bucket, then with
-    more as long as the bucket holds members of different components, so a group
-    of n copies costs about n comparisons.
+    listed; its members are compared with up to 4 pivots of the bucket as long as it holds
+    members of different components, so a group of n copies costs about n
+    comparisons.  What larger buckets leave open is compared in blocks: all texts
+    outside the main component against all texts, without a row for each pair.
 
     Ids are whole numbers.  Text that is null, empty or blank has no shingles and
     is linked with nothing.  Rows that share an id count as one node.  A row with a
@@ -107,9 +111,8 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, width: int, percent: in
     best = (met.groupBy("rep", "pivot").count().groupBy("rep")
             .agg(F.max_by("pivot", F.struct("count", F.xxhash64("pivot"))).alias("pivot")))
     tested = _tested(best.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct(), sets, percent)
-    first, last = 0, 1
-    while True:
-        found = components(tested.where("linked"))
+    found, first = components(tested.where("linked")), 0
+    for last in PIVOTS:
         open_ = _open(members, found, first)
         if open_.isEmpty():
             return found
@@ -118,8 +121,23 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, width: int, percent: in
         pairs = (open_.join(pivots, "bucket").where("place > at and component <> of")
                  .select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
                  .join(tested.select("a", "b"), ["a", "b"], "left_anti"))
-        tested = tested.unionByName(_tested(pairs, sets, percent))
-        first, last = last, 4 * last
+        more = _tested(pairs, sets, percent)
+        found, tested, first = _merged(found, more.where("linked")), tested.unionByName(more), last
+    open_ = _open(members, found, first)
+    return found if open_.isEmpty() else _merged(found, _in_blocks(open_, sets, percent))
+
+
+def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more links: only the graph of the components that these connect is searched."""
+    if links.isEmpty():
+        return found
+    for side in "ab":
+        names = found.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
+        links = links.join(names, side, "left").withColumn(f"of_{side}", F.coalesce(f"of_{side}", side))
+    moved = stored(components(links.select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))), "moved")
+    renamed = (found.join(moved.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left")
+               .select("node", F.coalesce("to", "component").alias("component")))
+    return stored(renamed.unionByName(moved.join(found, "node", "left_anti")), "components")
 
 
 def _open(members: DataFrame, found: DataFrame, first: int) -> DataFrame:
@@ -130,6 +148,53 @@ def _open(members: DataFrame, found: DataFrame, first: int) -> DataFrame:
     return stored(now.join(stored(mixed_, "mixed"), "bucket"), "open")
 
 
+def _in_blocks(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components among the members of large buckets.
+
+    Buckets that share members form a cluster.  Its members outside the cluster's
+    largest component are the queries; blocks of queries meet blocks of members,
+    and a block gives a link for each query and component, not for each pair.
+    """
+    centres = open_.groupBy("bucket").agg(F.min("rep").alias("b"))
+    clusters = components(open_.join(stored(centres, "centres"), "bucket").select(F.col("rep").alias("a"), "b").distinct())
+    members = (open_.select("rep", "component").distinct().join(clusters.withColumnRenamed("component", "cluster"), F.col("rep") == F.col("node"))
+               .select("cluster", "rep", "component"))
+    sizes = (members.groupBy("cluster", "component").count().groupBy("cluster")
+             .agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.sum("count").alias("n"), F.max("count").alias("in_main")))
+    placed = members.join(sizes, "cluster").select(
+        "cluster", "rep", "component", F.xxhash64("rep").alias("lot"), (F.col("component") != F.col("main")).alias("asks"),
+        F.ceil(F.col("n") / BLOCK).alias("across"), F.ceil((F.col("n") - F.col("in_main")) / BLOCK).alias("down"))
+    rows = placed.select("cluster", "rep", "component", F.lit(False).alias("asks"), F.pmod("lot", "across").alias("x"),
+                         F.explode(F.sequence(F.lit(0).cast("long"), F.col("down") - 1)).alias("y")).unionByName(
+        placed.where("asks").select("cluster", "rep", "component", "asks", F.pmod("lot", "down").alias("y"),
+                                    F.explode(F.sequence(F.lit(0).cast("long"), F.col("across") - 1)).alias("x")))
+
+    def compare(block: pd.DataFrame) -> pd.DataFrame:
+        asking, others = block[block.asks], block[~block.asks]
+        rest = [(r, c, np.frombuffer(s, np.uint64)) for r, c, s in zip(others.rep, others.component, others.shingles, strict=True)]
+        found = {}
+        queries = [(r, c, np.frombuffer(s, np.uint64)) for r, c, s in zip(asking.rep, asking.component, asking.shingles, strict=True)]
+        while queries:
+            some, size = [], 0
+            while queries and (not some or (size + len(queries[-1][2])) * (len(some) + 1) <= 20_000_000):
+                some.append(queries.pop())
+                size += len(some[-1][2])
+            words, at = np.unique(np.concatenate([q[2] for q in some]), return_inverse=True)
+            holds = np.zeros((len(some), len(words)), np.bool_)
+            holds[np.repeat(np.arange(len(some)), [len(q[2]) for q in some]), at] = True
+            lengths, own = np.array([len(q[2]) for q in some]), np.array([q[1] for q in some])
+            for rep, component, theirs in rest:
+                place = np.minimum(np.searchsorted(words, theirs), len(words) - 1)
+                common = holds[:, place[words[place] == theirs]].sum(axis=1)
+                near = (100 * common >= percent * (lengths + len(theirs) - common)) & (own != component)
+                for k in np.flatnonzero(near):
+                    found.setdefault((some[k][0], component), rep)
+        return pd.DataFrame([(q, rep) for (q, _), rep in found.items()], columns=["a", "b"]).astype("int64")
+
+    full = rows.join(sets.select("rep", "shingles"), "rep").select("cluster", "x", "y", "rep", "component", "asks", "shingles")
+    return stored(full.groupBy("cluster", "x", "y").applyInPandas(compare, "a long, b long"), "block_links")
+
+
 def _sets(docs: DataFrame, id_col: str, text_col: str, width: int, names: DataFrame, classes: DataFrame) -> DataFrame:
     """Full shingle sets of the candidates, made again from their texts."""
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
