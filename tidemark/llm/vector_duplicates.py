@@ -83,10 +83,11 @@ class Filters:
         scores -= scores.max(axis=2, keepdims=True)
         scores -= np.log(np.exp(scores).sum(axis=2, keepdims=True))
         best = scores.max(axis=2)
+        limit = np.minimum(-np.log(MOST), best.sum(axis=0) - 1e-9)  # the best direction of all is always listed
         row, name, total = np.arange(len(unit)), np.zeros(len(unit), np.int64), np.zeros(len(unit))
         for b in range(BLOCKS):
             sums = total[:, None] + scores[b][row]
-            at, word = np.nonzero(sums >= -np.log(MOST) - best[b + 1:].sum(axis=0)[row][:, None])
+            at, word = np.nonzero(sums >= (limit - best[b + 1:].sum(axis=0))[row][:, None])
             row, name, total = row[at], name[at] * self.words + word, sums[at, word]
         return row, name
 
@@ -101,7 +102,7 @@ def _candidates(classes: DataFrame) -> DataFrame:
             names, values = batch.column(0).to_numpy(zero_copy_only=False), [np.array(v) for v in batch.column(1).to_pylist()]
             dims = np.array([len(v) for v in values])
             for dim in np.unique(dims).tolist():
-                codes.setdefault(dim, [Filters(dim, words, c) for c in range(CODES)] if dim not in codes else [])
+                codes.setdefault(dim, [Filters(dim, min(words, 4 ** -(-dim // BLOCKS)), c) for c in range(CODES)] if dim not in codes else [])
                 places = np.flatnonzero(dims == dim)
                 for k in range(0, len(places), 128):
                     some = places[k:k + 128]
