@@ -14,7 +14,7 @@ from llm_cases import by_id, docs_of, folder  # noqa: F401
 from tidemark.llm.components import components
 from tidemark.llm.near_duplicates import near_duplicates
 from tidemark.llm.repeated_units import units, without_repeats
-from tidemark.llm.vector_duplicates import near_vectors
+from tidemark.llm.vector_duplicates import Filters, near_vectors, plan_of
 
 
 def least_reachable(nodes, pairs):
@@ -151,6 +151,24 @@ def test_recall_at_the_threshold(spark, folder):
     assert sum(r.n_links for r in near_vectors(table).collect()) >= 2 * 0.995 * 400
 
 
+@pytest.mark.parametrize("dim", [16, 64])
+def test_recall_with_the_directions_of_millions(dim):
+    """Pairs of cosine 0.9 share a filter at a number of codewords that belongs to 10 million vectors."""
+    rng = np.random.default_rng(7)
+    x, z = rng.standard_normal((2, 1000, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    y = 0.9 * x + np.sqrt(1 - 0.9**2) * z / np.linalg.norm(z, axis=1, keepdims=True)
+    words, codes = plan_of(dim, 10**7)
+    assert words >= 200 or dim < 64
+    shared = np.zeros(1000, int)
+    for code in range(codes):
+        of = Filters(dim, words, code)
+        a, b = (set(zip(*(part.tolist() for part in of.lists(v)), strict=True)) for v in (x, y))
+        np.add.at(shared, [row for row, _ in a & b], 1)
+    assert shared.min() > 0 and shared.mean() > 25
+
+
 def brute_removed(docs):
     """Removed spans by id: units in order of id; a unit goes if the same one came before."""
     seen, out = set(), {}

@@ -16,6 +16,10 @@ from tidemark.llm.store import stored
 BLOCKS, CODES, SEED = 4, 8, 20269
 #: The most directions of one code that a vector is listed under.
 MOST = 200
+#: Expected number of filters that two vectors of cosine 0.9 share; more codes are drawn until it is reached.
+SHARED = 32
+#: With more codes than this, fewer directions are used instead.
+MOST_CODES = 64
 
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.9) -> DataFrame:
@@ -31,10 +35,13 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     exceeds its limit, found block by block without visiting the other
     directions.  The limit makes exp(4 sqrt(d) inner product) at least 1/200 of
     its sum over all directions of the code, so a list has 200 entries at most
-    without being cut.  There are eight codes.  Classes that share a direction
-    are verified.  Of 12,000 random pairs with cosine 0.9 none shared no
-    direction (40 on average); a lower ``cosine`` finds fewer.  The number of
-    directions grows with the number of classes, so chance meetings stay few.
+    without being cut.  Classes that share a direction are verified.  The number
+    of directions grows with the number of classes, so chance meetings stay few;
+    near vectors share fewer directions of one code then, so the number of codes
+    grows as well, from eight, until two vectors of cosine 0.9 share 32 filters on
+    average; where that takes over 64 codes, as for short vectors, there are fewer
+    directions instead.  With the directions for 51,282, for 1 and for 10 million
+    vectors of 64 components, each of 2,000 random pairs of cosine 0.9 shared one.  A lower ``cosine`` finds fewer.
 
     Vectors that are null, empty, zero or hold a null or non-finite component,
     and rows with a null id, have no links and are kept with their own id as
@@ -92,9 +99,33 @@ class Filters:
         return row, name
 
 
+def codes_of(dim: int, words: int, pairs: int = 300, tried: int = 4) -> int:
+    """The number of codes that lets random pairs of cosine 0.9 share ``SHARED`` filters on average, counted on a few codes."""
+    if dim < 2:
+        return CODES
+    x, y = np.random.default_rng([SEED, dim, words]).standard_normal((2, pairs, dim))
+    x = _unit(x)
+    y = 0.9 * x + sqrt(1 - 0.9**2) * _unit(y - (x * y).sum(axis=1, keepdims=True) * x)
+    shared = 0
+    for code in range(tried):
+        of = Filters(dim, words, code)
+        a, b = (np.stack(of.lists(v)).T for v in (x, y))
+        shared += len(set(map(tuple, a.tolist())) & set(map(tuple, b.tolist())))
+    return max(CODES, -(-SHARED * pairs * tried // max(1, shared)))
+
+
+def plan_of(dim: int, classes: int) -> tuple[int, int]:
+    """Codewords of a block and number of codes for so many classes; fewer codewords where near vectors would hardly meet."""
+    words = min(max(16, round((256 * max(1, classes)) ** (1 / BLOCKS))), 4 ** -(-dim // BLOCKS))
+    while (codes := codes_of(dim, words)) > MOST_CODES and words > 4:
+        words = words * 3 // 4
+    return words, codes
+
+
 def _candidates(classes: DataFrame) -> DataFrame:
     """Distinct pairs of class hashes that share a filter."""
-    words = max(16, round((256 * max(1, classes.count())) ** (1 / BLOCKS)))
+    lengths = {r.dim: r["count"] for r in classes.groupBy(F.size("v").alias("dim")).count().collect()}     # a row per length of vectors
+    plan = {dim: plan_of(dim, sum(lengths.values())) for dim in lengths}
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes: dict[int, list[Filters]] = {}
@@ -102,14 +133,15 @@ def _candidates(classes: DataFrame) -> DataFrame:
             names, values = batch.column(0).to_numpy(zero_copy_only=False), [np.array(v) for v in batch.column(1).to_pylist()]
             dims = np.array([len(v) for v in values])
             for dim in np.unique(dims).tolist():
-                codes.setdefault(dim, [Filters(dim, min(words, 4 ** -(-dim // BLOCKS)), c) for c in range(CODES)] if dim not in codes else [])
+                words, n_codes = plan[dim]
+                codes.setdefault(dim, [Filters(dim, words, c) for c in range(n_codes)] if dim not in codes else [])
                 places = np.flatnonzero(dims == dim)
                 for k in range(0, len(places), 128):
                     some = places[k:k + 128]
                     unit = _unit(np.stack([values[i] for i in some]))
                     for code, of in enumerate(codes[dim]):
                         row, direction = of.lists(unit)
-                        group = (direction * CODES + code) * 65536 + dim % 65536     # vectors of other lengths meet nobody
+                        group = (direction * n_codes + code) * 65536 + dim % 65536     # vectors of other lengths meet nobody
                         yield pa.RecordBatch.from_arrays([pa.array(group), pa.array(names[some[row]])], ["filter", "name"])
 
     lists = stored(classes.select("name", "v").repartition("name").mapInArrow(listed, "filter long, name long"), "lists")
