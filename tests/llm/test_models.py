@@ -9,9 +9,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from llm_cases import by_id, docs_of, folder  # noqa: F401
 from tidemark.llm import toxicity
-from tidemark.llm.language import UNKNOWN, Network, _symbols, fit_languages, lot_of, predictor, with_language
+from tidemark.llm.language import UNKNOWN, Network, _symbols, fit_languages, least_score, lot_of, predictor, with_language
 from tidemark.llm.toxicity import Classifier, features_of, fit_toxicity, swapped, with_toxicity, words_of
 
 SF, MORE = "/root/testdata/sf0.01", "/root/testdata/sf0.1"
@@ -58,6 +59,19 @@ def test_languages_of_odd_texts(docs_of, spark):
         with_language(docs_of(texts).withColumn("score", F.lit(1)), network)
 
 
+@needs_tables
+def test_texts_in_no_language_are_rejected(spark, folder):
+    """Text of unknown scripts and junk with a letter go although they claim a language; every text of the table stays."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    odd = ["日本語の文章です。これは長い文です。", "Это русский текст, написанный кириллицей.", "مرحبا بالعالم هذا نص عربي", "12 34 a !! 99 -- 55"]
+    rows = spark.createDataFrame([(10**6 + k, t, "en", "s", len(t)) for k, t in enumerate(odd)], docs.schema)
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, docs.unionByName(rows), SF).collect()}
+    assert kept == {r.doc_id for r in docs.select("doc_id").collect()}
+    held = lot_of(F.col("doc_id"), 4) == 2
+    network = fit_languages(docs.where(~held))
+    assert 1.1 / 4 < least_score(network, docs.where(held)) < 0.4 and least_score(network, docs.where("false")) == 0.0
+
+
 def test_lots(spark):
     import zlib
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from hashlib import sha256
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.distinct_words import WordMemory
@@ -33,10 +34,11 @@ class Network:
             self.weights[f"{side}_state"] = rng.normal(0, hidden**-0.5, (hidden, 3 * hidden)).astype(np.float32)
         self.weights["out"] = rng.normal(0, (2 * hidden)**-0.5, (2 * hidden, len(self.labels))).astype(np.float32)
         self.weights["bias"] = np.zeros(len(self.labels), np.float32)
+        self.known: frozenset[str] | None = None        # characters that training showed; None: no record of them
 
     def digest(self) -> str:
-        """Name of the labels and weights."""
-        parts = [repr(self.labels).encode(), *[w.tobytes() for _, w in sorted(self.weights.items())]]
+        """Name of the labels, known characters and weights."""
+        parts = [repr(self.labels).encode(), repr(self.known and sorted(self.known)).encode(), *[w.tobytes() for _, w in sorted(self.weights.items())]]
         return sha256(b"".join(parts)).hexdigest()
 
     def _run(self, side: str, x: np.ndarray, keep: list | None = None) -> np.ndarray:
@@ -113,6 +115,18 @@ class Network:
                 w -= pace * m / (np.sqrt(v) + 1e-8)
         return self
 
+    def evidence(self, words: Sequence[str]) -> np.ndarray:
+        """``sums`` in which what training never showed tells nothing: all positions of a word without a letter, and
+        the share of a word's positions that its unknown characters take, count with the same chance of every label."""
+        found = self.sums(words)
+        for k, word in enumerate(words):
+            size = len(word.encode("utf-8", "surrogatepass"))
+            odd = sum(len(c.encode("utf-8", "surrogatepass")) for c in word if c not in self.known) if self.known is not None else 0
+            share = odd / size if any(c.isalpha() for c in word) else 1.0
+            if share:
+                found[k, :-1] = (1 - share) * found[k, :-1] + share * found[k, -1] / len(self.labels)
+        return found
+
     def sums(self, words: Sequence[str]) -> np.ndarray:
         """A row for each word: the sums of label chances over its positions, and the number of positions."""
         parts, owner = [], []
@@ -140,13 +154,8 @@ def _symbols(words: Sequence[bytes]) -> np.ndarray:
     return np.concatenate([edge, inner, edge])
 
 
-def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
-                  texts: int = TEXTS_PER_LANGUAGE, characters: int = CHARACTERS) -> Network:
-    """A network fitted on at most ``texts`` labelled texts per language, a stretch of each from a place that its hash chooses.
-
-    Rows with a null label or a text without words teach nothing; without any
-    other row the network knows no language.
-    """
+def _stretches(docs: DataFrame, id_col: str, text_col: str, label_col: str, texts: int, characters: int) -> list[Row]:
+    """``(label, part)`` of at most ``texts`` labelled texts per language, a stretch of each from a place that its hash chooses."""
     order = Window.partitionBy("label").orderBy("lot", "id")
     chosen = (docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
               .select(F.col(id_col).cast("string").alias("id"), F.col(label_col).alias("label"),
@@ -155,19 +164,60 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                                   F.lit(characters)).alias("part"))
               .withColumn("place", F.row_number().over(order)).where(F.col("place") <= texts)
               .orderBy("label", "place").select("label", "part"))
-    rows = [r for r in chosen.collect() if r.part.split()]         # at most ``texts`` short stretches per language
+    return [r for r in chosen.collect() if r.part.split()]         # at most ``texts`` short stretches per language
+
+
+def _known(parts: Sequence[tuple[str, str]]) -> frozenset[str]:
+    """Characters in at least one of 100 stretches of a language, and in two: a stray text in it makes no script known."""
+    known: set[str] = set()
+    for label in {k for k, _ in parts}:
+        own = [set(part) for k, part in parts if k == label]
+        counts = Counter(chain.from_iterable(own))
+        known.update(c for c, n in counts.items() if n >= min(len(own), max(2, len(own) / 100)))
+    return frozenset(known)
+
+
+def least_score(network: Network, held_out: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
+                texts: int = TEXTS_PER_LANGUAGE, characters: int = CHARACTERS) -> float:
+    """The evidence score below which a text is in none of the network's languages.
+
+    The best of n labels never scores below 1/n, and text that tells nothing scores
+    just that.  The limit lies an eighth of the way from there to the score that 99
+    of 100 labelled texts reach which the network was not fitted on; clean texts of
+    a few words score well below those 99.  Without such texts or labels it is 0.
+    """
+    rows = _stretches(held_out, id_col, text_col, label_col, texts, characters)
+    scores = [score for label, score in predictor(network, evidence=True)([r.part for r in rows]) if label != UNKNOWN]
+    if not scores:
+        return 0.0
+    lowest = 1 / len(network.labels)
+    return lowest + (float(np.quantile(scores, 0.01)) - lowest) / 8
+
+
+def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
+                  texts: int = TEXTS_PER_LANGUAGE, characters: int = CHARACTERS) -> Network:
+    """A network fitted on at most ``texts`` labelled texts per language, a stretch of each from a place that its hash chooses.
+
+    Rows with a null label or a text without words teach nothing; without any
+    other row the network knows no language.
+    """
+    rows = _stretches(docs, id_col, text_col, label_col, texts, characters)
     labels = sorted({r.label for r in rows})
     pairs = [(w.encode("utf-8", "surrogatepass")[:PART], labels.index(r.label)) for r in rows for w in r.part.split()]
     network = Network(labels)
+    network.known = _known([(r.label, r.part) for r in rows])
     return network.fit(*zip(*pairs, strict=True)) if pairs and labels else network
 
 
-def predictor(network: Network) -> Callable[[Sequence[str | None]], list[tuple[str, float]]]:
-    """Language and score of texts: mean chance over all positions of all words; each distinct word is read once per memory."""
+def predictor(network: Network, evidence: bool = False) -> Callable[[Sequence[str | None]], list[tuple[str, float]]]:
+    """Language and score of texts: mean chance over all positions of all words; each distinct word is read once per memory.
+
+    With ``evidence`` the score counts what training never showed as equal chances of all languages.
+    """
     rows = [np.empty((0, len(network.labels) + 1))]
 
     def work(words: list[str]) -> range:
-        rows[0] = np.concatenate([rows[0] if memory.found else rows[0][:0], network.sums(words)])
+        rows[0] = np.concatenate([rows[0] if memory.found else rows[0][:0], (network.evidence if evidence else network.sums)(words)])
         return range(len(rows[0]) - len(words), len(rows[0]))
 
     memory = WordMemory(work, 400_000, keep=False)
@@ -188,26 +238,28 @@ def predictor(network: Network) -> Callable[[Sequence[str | None]], list[tuple[s
     return predict
 
 
-_PREDICTORS: dict[str, Callable[[Sequence[str | None]], list[tuple[str, float]]]] = {}
+_PREDICTORS: dict[tuple[str, bool], Callable[[Sequence[str | None]], list[tuple[str, float]]]] = {}
 
 
-def process_predictor(network: Network) -> Callable[[Sequence[str | None]], list[tuple[str, float]]]:
+def process_predictor(network: Network, evidence: bool = False) -> Callable[[Sequence[str | None]], list[tuple[str, float]]]:
     """The process's predictor for these weights: what it has learned serves later tasks."""
-    name = network.digest()
+    name = network.digest(), evidence
     if name not in _PREDICTORS:
         _PREDICTORS.clear()
-        _PREDICTORS[name] = predictor(network)
+        _PREDICTORS[name] = predictor(network, evidence)
     return _PREDICTORS[name]
 
 
-def with_language(docs: DataFrame, network: Network, text_col: str = "text", label: str = "lang_pred", score: str = "score") -> DataFrame:
+def with_language(docs: DataFrame, network: Network, text_col: str = "text", label: str = "lang_pred", score: str = "score",
+                  evidence: bool = False) -> DataFrame:
     """``docs`` with the predicted language and its score (0 to 1).
 
     The network reads a text word by word (runs without white space, long ones in
     parts of 40 bytes), from both ends of the word, and gives every byte a chance
     of each language; the score is the mean over all bytes of the text.  Null
     text, empty text and text without a letter is ``und`` with score 0, as is all
-    text if the network knows no language.  Equal texts get equal results.  Rows
+    text if the network knows no language.  With ``evidence`` words without a letter
+    and unknown characters count as equal chances of all languages.  Equal texts get equal results.  Rows
     are neither moved nor dropped; other columns pass through; a column named like
     a new one is refused.
     """
@@ -216,7 +268,7 @@ def with_language(docs: DataFrame, network: Network, text_col: str = "text", lab
     at = docs.columns.index(text_col)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        predict = process_predictor(network)
+        predict = process_predictor(network, evidence)
         for batch in batches:
             for k in range(0, batch.num_rows, 512):
                 part = batch.slice(k, 512)
