@@ -216,6 +216,14 @@ def test_repeated_lines_leave_their_break(docs_of):
     assert [found[k]["text"] for k in range(4)] == [f"{line}\n{other}", "own words of this text here", "own start of this text", ""]
 
 
+def test_a_whole_line_meets_an_inner_sentence(docs_of):
+    one = "This sentence stands here on a line of its own."
+    found = by_id(without_repeats(docs_of([one, f"First comes another short start. {one} Then an end of some words.", f"own words of this text here\n{one.upper()}\nx"])))
+    assert found[0]["text"] == one and one not in found[1]["text"] and found[2]["text"] == "own words of this text here\nx"
+    found = by_id(without_repeats(docs_of([f"First comes another short start. {one}", f"own words of this text here\n{one}\nx"])))
+    assert found[0]["removed"] == [] and found[1]["text"] == "own words of this text here\nx"
+
+
 def test_repeats_with_null_and_equal_ids(docs_of):
     line = "one two three four five"
     rows = without_repeats(docs_of([(None, line), (2, line), (2, line)])).collect()

@@ -19,8 +19,8 @@ _SENTENCE_END = re.compile(r"(?<=[.!?。！？…])\s+")
 def units(text: str | None, least_words: int = LEAST_WORDS) -> Iterator[tuple[int, int, int, str]]:
     """``(first, last, line, normal text)`` of each unit, as character offsets (end excluded).
 
-    Units are the lines and, where a line has several, its sentences; ``line`` is
-    1 for a line and 0 for a sentence.  The normal text is in lower case with
+    Units are the lines and their sentences, also where a line is one sentence;
+    ``line`` is 1 for a line and 0 for a sentence.  The normal text is in lower case with
     single spaces.  Units of fewer words are left out.
     """
     at = 0
@@ -29,11 +29,10 @@ def units(text: str | None, least_words: int = LEAST_WORDS) -> Iterator[tuple[in
         if len(words) >= least_words:
             yield at, at + len(line), 1, " ".join(words)
             ends = [m.span() for m in _SENTENCE_END.finditer(line)]
-            if ends:
-                for a, b in zip([0, *(e[1] for e in ends)], [*(e[0] for e in ends), len(line)], strict=True):
-                    words = line[a:b].lower().split()
-                    if len(words) >= least_words:
-                        yield at + a, at + b, 0, " ".join(words)
+            for a, b in zip([0, *(e[1] for e in ends)], [*(e[0] for e in ends), len(line)], strict=True):
+                words = line[a:b].lower().split()
+                if len(words) >= least_words:
+                    yield at + a, at + b, 0, " ".join(words)
         at += len(line) + 1
 
 
@@ -43,8 +42,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A unit's digest is compared with those of all units of its kind; the
     occurrence with the least (id, text digest, offset) stays, all later ones go,
-    within a document too.  A line goes with its line break; a sentence leaves
-    the space around it.  Lines and sentences of fewer than five words never go.
+    within a document too.  A line of one sentence is compared as a line and as a
+    sentence, so it meets its copy inside a longer line.  A line goes with its line
+    break; a sentence within one leaves the space around it.  Lines and sentences of fewer than five words never go.
 
     Null text stays null and empty text empty; a text whose units all go becomes
     empty, its row stays.  A null id ranks after all others.  Rows that share id
@@ -58,7 +58,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, high, low, first, last, line = [], [], [], [], [], []
+            rows, high, low, first, last = [], [], [], [], []
             for k, text in enumerate(batch.column(2)):
                 for a, b, kind, normal in units(text.as_py(), least_words):
                     name = xxhash.xxh3_128_intdigest(normal.encode("utf-8", "surrogatepass"), kind)
@@ -67,20 +67,19 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     low.append((name & (2**64 - 1)) - 2**63)
                     first.append(a)
                     last.append(b)
-                    line.append(kind)
             at = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(at), batch.column(1).take(at), pa.array(high, pa.int64()), pa.array(low, pa.int64()),
-                 pa.array(first, pa.int32()), pa.array(last, pa.int32()), pa.array(line, pa.int8())],
-                ["id", "digest", "high", "low", "first", "last", "line"])
+                 pa.array(first, pa.int32()), pa.array(last, pa.int32())],
+                ["id", "digest", "high", "low", "first", "last"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    found = names.mapInArrow(cut, f"id {kind}, digest long, high long, low long, first int, last int, line byte")
+    found = names.mapInArrow(cut, f"id {kind}, digest long, high long, low long, first int, last int")
     rank = F.struct(F.col("id").isNull().alias("unnamed"), "id", "digest", "first")
     repeated = stored(found.groupBy("high", "low").agg(F.count(F.lit(1)).alias("n"), F.min(rank).alias("earliest"))
                       .where("n > 1").select("high", "low", "earliest"), "repeated")
     later = (found.join(repeated, ["high", "low"]).where(rank > F.col("earliest"))
-             .groupBy("id", "digest").agg(F.array_sort(F.collect_set(F.struct("first", "last", "line"))).alias("__cut")))
+             .groupBy("id", "digest").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("__cut")))
     later = stored(later, "cuts").select(F.col("id").alias("__id"), F.col("digest").alias("__digest"), "__cut", F.lit(True).alias("__some"))
     joined = keyed.join(later, keyed["__id"].eqNullSafe(later["__id"]) & (keyed["__digest"] == later["__digest"]), "left")
     shorter = _shorter(F.when(F.col("__some"), F.col(text_col)), F.col("__cut"))
@@ -95,14 +94,15 @@ def _shorter(text: Column, cuts: Column) -> Column:
     def cut(whole, units_):
         if units_ is None:
             return None
-        out, spans, at, parts = [], [], 0, sorted((u["first"], -u["last"], u["line"], u["last"]) for u in units_)
-        for first, _, line, last in parts:
+        out, spans, at, parts = [], [], 0, sorted((u["first"], -u["last"]) for u in units_)
+        for first, last in ((a, -b) for a, b in parts):
             if first < at:
                 continue
             spans.append((first, last))
             out.append(whole[at:first])
             at = last
-            if line:                                               # with the line break after it, or at the end the one before
+            if (first == 0 or whole[first - 1] == "\n") and (last == len(whole) or whole[last] == "\n"):
+                # a whole line goes with the line break after it, or at the end the one before
                 if at < len(whole):
                     at += 1
                 elif out[-1].endswith("\n"):
