@@ -131,8 +131,7 @@ class Network:
         """A row for each word: the sums of label chances over its positions, and the number of positions."""
         parts, owner = [], []
         for k, word in enumerate(words):
-            raw = word.encode("utf-8", "surrogatepass")
-            parts += [raw[at:at + PART] for at in range(0, len(raw), PART)] or [raw]
+            parts += _parts(word)
             owner += [k] * (len(parts) - len(owner))
         found = np.empty((len(parts), len(self.labels) + 1))
         by_length = np.array([len(p) for p in parts])
@@ -147,6 +146,12 @@ class Network:
         return np.add.reduceat(found, np.flatnonzero(np.diff(owner, prepend=-1)))
 
 
+def _parts(word: str) -> list[bytes]:
+    """The bytes of a word as the network reads them, ``PART`` at a time."""
+    raw = word.encode("utf-8", "surrogatepass")
+    return [raw[at:at + PART] for at in range(0, len(raw), PART)] or [raw]
+
+
 def _symbols(words: Sequence[bytes]) -> np.ndarray:
     """Symbols by time: the bytes of words of one length between two edges."""
     inner = np.frombuffer(b"".join(words), np.uint8).reshape(len(words), -1).T
@@ -203,7 +208,7 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     rows = _stretches(docs, id_col, text_col, label_col, texts, characters)
     labels = sorted({r.label for r in rows})
-    pairs = [(w.encode("utf-8", "surrogatepass")[:PART], labels.index(r.label)) for r in rows for w in r.part.split()]
+    pairs = [(part, labels.index(r.label)) for r in rows for w in r.part.split() for part in _parts(w)]
     network = Network(labels)
     network.known = _known([(r.label, r.part) for r in rows])
     return network.fit(*zip(*pairs, strict=True)) if pairs and labels else network
