@@ -67,6 +67,17 @@ def test_words_give_the_ids_of_the_text():
     assert [np.frombuffer(i, "<u2").tolist() for i in encode(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
+def test_added_tokens_as_the_library_takes_them(docs_of, spark, tmp_path):
+    """The query's ids are those of a tokenizer with default settings."""
+    from tidemark.llm.queries import op2_token_files
+    from tokenizers import Tokenizer
+
+    t, texts = Tokenizer.from_file(tokenizer_file("byte_bpe_50k.json")), [*ODD, "a <|endoftext|> b"]
+    want = {k: zlib.crc32(np.array([*t.encode(x, add_special_tokens=False).ids, 0], "<u4").tobytes()) for k, x in enumerate(texts)}
+    docs_of(texts).write.parquet(str(tmp_path / "documents.parquet"))
+    assert {r.doc_id: r.ids_crc32 for r in op2_token_files(spark, str(tmp_path)).collect()} == want
+
+
 def test_token_files(docs_of, spark, folder, tmp_path):
     docs = [(k, t) for k, t in zip(random.Random(1).sample(range(900), 300), (ODD * 30)[:300], strict=True)] + [(1000, None), (1000, "tie")]
     t, path = tokenizer(), tokenizer_file("byte_bpe_50k.json")

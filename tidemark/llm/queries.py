@@ -49,7 +49,7 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_files.token_digests(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=0, vocabulary=50_257)
+    return token_files.token_digests(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=0, vocabulary=50_257, added=True)
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

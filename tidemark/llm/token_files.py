@@ -33,8 +33,11 @@ def byte_letters() -> dict[int, int]:
     return {b: b for b in PLAIN_BYTES} | {b: 256 + k for k, b in enumerate(others)}
 
 
-def byte_bpe(path: str, dtype: str) -> Callable[[list[str]], list[bytes]]:
-    """A function from texts to their ids as little-endian bytes; special strings in a text are ordinary text.
+def byte_bpe(path: str, dtype: str, added: bool = False) -> Callable[[list[str]], list[bytes]]:
+    """A function from texts to their ids as little-endian bytes.
+
+    Special strings in a text are ordinary text, or with ``added`` what the library
+    takes them for by default: a text that holds an added token is left to it.
 
     A piece begins at every space that stands alone between two other characters,
     so a text may be cut before each of these, and the ids of the text are those
@@ -43,7 +46,10 @@ def byte_bpe(path: str, dtype: str) -> Callable[[list[str]], list[bytes]]:
     """
     from tokenizers import Tokenizer
 
-    merge, pieces, letters = Tokenizer.from_file(path).model.tokenize, regex.compile(PIECES), byte_letters()
+    tokenizer = Tokenizer.from_file(path)
+    merge, pieces, letters = tokenizer.model.tokenize, regex.compile(PIECES), byte_letters()
+    contents = [t.content for t in tokenizer.get_added_tokens_decoder().values()] if added else []
+    special = re.compile("|".join(map(re.escape, contents))) if contents else None
     code = {2: "H", 4: "I"}[np.dtype(dtype).itemsize]
     edged: set[str] = set()                                # words with white space where two cuts could part a run of it
 
@@ -55,6 +61,13 @@ def byte_bpe(path: str, dtype: str) -> Callable[[list[str]], list[bytes]]:
     memory = WordMemory(ids_of, 500_000)
 
     def encode(texts: list[str]) -> list[bytes]:
+        whole = {k for k, t in enumerate(texts) if special.search(t)} if special else ()
+        if not whole:
+            return encode_words(texts)
+        rest = iter(encode_words([t for k, t in enumerate(texts) if k not in whole]))
+        return [array(code, tokenizer.encode(t, add_special_tokens=False).ids).tobytes() if k in whole else next(rest) for k, t in enumerate(texts)]
+
+    def encode_words(texts: list[str]) -> list[bytes]:
         if len(edged) > memory.most:
             edged.clear()
             memory.forget()
@@ -72,14 +85,14 @@ def byte_bpe(path: str, dtype: str) -> Callable[[list[str]], list[bytes]]:
     return encode
 
 
-_ENCODERS: dict[tuple[str, str], Callable[[list[str]], list[bytes]]] = {}
+_ENCODERS: dict[tuple[str, str, bool], Callable[[list[str]], list[bytes]]] = {}
 
 
-def process_encoder(path: str, dtype: str) -> Callable[[list[str]], list[bytes]]:
+def process_encoder(path: str, dtype: str, added: bool = False) -> Callable[[list[str]], list[bytes]]:
     """The process's encoder: what it has learned serves later tasks."""
-    if (path, dtype) not in _ENCODERS:
-        _ENCODERS[path, dtype] = byte_bpe(path, dtype)
-    return _ENCODERS[path, dtype]
+    if (path, dtype, added) not in _ENCODERS:
+        _ENCODERS[path, dtype, added] = byte_bpe(path, dtype, added)
+    return _ENCODERS[path, dtype, added]
 
 
 def id_type(vocabulary: int) -> str:
@@ -186,9 +199,9 @@ def read_tokens(spark: SparkSession, folder: str, id_type_name: str = "long") ->
 
 
 def token_digests(docs: DataFrame, tokenizer_path: str, end_id: int, vocabulary: int, id_col: str = "doc_id",
-                  text_col: str = "text") -> DataFrame:
-    """``(doc_id, start, n_tokens, ids_crc32)`` per document, as read back from files written for ``docs``."""
+                  text_col: str = "text", added: bool = False) -> DataFrame:
+    """``(doc_id, start, n_tokens, ids_crc32)`` per document, as read back from files written for ``docs``; ``added`` as in ``byte_bpe``."""
     folder, dtype = new_folder(docs.sparkSession, "tokens"), id_type(vocabulary)
-    write_tokens(docs, folder, lambda: process_encoder(tokenizer_path, dtype), dtype, end_id, id_col, text_col)
+    write_tokens(docs, folder, lambda: process_encoder(tokenizer_path, dtype, added), dtype, end_id, id_col, text_col)
     read = read_tokens(docs.sparkSession, folder, docs.schema[id_col].dataType.simpleString())
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
