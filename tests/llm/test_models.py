@@ -72,14 +72,6 @@ def test_texts_in_no_language_are_rejected(spark, folder):
     assert 1.1 / 4 < least_score(network, docs.where(held)) < 0.4 and least_score(network, docs.where("false")) == 0.0
 
 
-def test_long_words_teach_in_all_their_parts(docs_of, monkeypatch):
-    taught = []
-    monkeypatch.setattr(Network, "fit", lambda self, words, labels: taught.extend(words) or self)
-    text = "日本語" * 30
-    fit_languages(docs_of([text]))
-    assert b"".join(taught) == text.encode() and [len(w) for w in taught] == [40] * 6 + [30]
-
-
 def test_lots(spark):
     import zlib
 
