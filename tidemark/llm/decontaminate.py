@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.distinct_words import release
+
 WINDOW = 10
 #: Benchmark text handled in one pass over the documents; more items are taken in further passes.
 PASS_BYTES = 32_000_000
@@ -154,6 +156,7 @@ def _search(items: list[tuple[str, str]], size: int) -> Column:
 
     @F.pandas_udf(FOUND)
     def search(texts: pd.Series, spans: pd.Series, names: pd.Series) -> pd.DataFrame:
+        release()
         if not bench:
             bench.append(Benchmark(items, size))
         out = []

@@ -220,7 +220,10 @@ def predictor(network: Network, evidence: bool = False) -> Callable[[Sequence[st
         rows[0] = np.concatenate([rows[0] if memory.found else rows[0][:0], (network.evidence if evidence else network.sums)(words)])
         return range(len(rows[0]) - len(words), len(rows[0]))
 
-    memory = WordMemory(work, 400_000, keep=False)
+    def forgotten() -> None:
+        rows[0] = rows[0][:0].copy()
+
+    memory = WordMemory(work, 400_000, keep=False, forgotten=forgotten)
 
     def predict(texts: Sequence[str | None]) -> list[tuple[str, float]]:
         cut = [(t or "").split() for t in texts]

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
+from tidemark.llm.distinct_words import release
 from tidemark.llm.store import keys_of, stored
 from tidemark.llm.words import mixed, shingles
 
@@ -69,6 +70,7 @@ def minima(found: np.ndarray) -> np.ndarray:
 
 def _signed(docs: DataFrame, width: int) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             counts, digests, lows = [], [], []
             for text in batch.column(1):
@@ -198,6 +200,7 @@ def _in_blocks(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _sets(docs: DataFrame, id_col: str, text_col: str, width: int, names: DataFrame, classes: DataFrame) -> DataFrame:
     """Full shingle sets of the candidates, made again from their texts."""
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             found = [shingles(text.as_py(), width).tobytes() for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
@@ -216,6 +219,7 @@ def _tested(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     least_agreeing = int(HASHES * (percent / 100 - 0.2))            # 5.6 standard deviations below 0.8
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             linked = []
             for la, sa, lb, sb in zip(*(batch.column(k) for k in range(2, 6)), strict=True):

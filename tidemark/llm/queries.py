@@ -10,10 +10,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, language, near_duplicates, pieces, repeated_units, sharding, token_files, toxicity, vector_duplicates
+from tidemark.llm import chat, conversations, decontaminate, divergence, language, near_duplicates, personal_data, pieces, repeated_units, sharding, token_files, toxicity, vector_duplicates
 from tidemark.llm.sql import SQL  # noqa: F401
+from tidemark.llm.store import stored
 
 SHARDS = 40
+#: Bytes of a batch that goes to an executor's Python, which holds several copies of it.
+ARROW_BYTES = "16m"
 
 
 def tokenizer_file(name: str) -> str:
@@ -31,6 +34,7 @@ _SHIPPED: set[str] = set()
 def ship(spark: SparkSession) -> None:
     """Give the package's modules to the executors' Python, once per application."""
     name = spark.sparkContext.applicationId
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     if name not in _SHIPPED:
         top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
         copy = tempfile.mkdtemp(prefix="package-")
@@ -111,6 +115,36 @@ def op10_repeated_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("removed").cast("long").alias("n_removed"), removed.alias("removed_chars"), "removed", "text")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation after a damage that the checksum of its rows decides, and its cheapest repair."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    name = F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.lit(":"), F.coalesce(F.col("turn").cast("string"), F.lit(" ")))
+    said = F.coalesce("text", F.lit(" "))
+    damaged = rows.withColumn("lot", F.crc32(F.encode(name, "UTF-8")) % 20).select(
+        "conv_id", "turn", F.when(F.col("lot") == 4, "user").otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+        F.when(F.col("lot") == 1, "").when(F.col("lot") == 2, F.regexp_replace(said, "[.!?]", "")).otherwise(said).alias("text"),
+        F.explode(F.when(F.col("lot") == 0, F.array()).when(F.col("lot") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"))
+    found = conversations.repairs(damaged, stored(conversations.plans(damaged), "plans"))
+    ids = rows.select("conv_id").distinct()
+    return ids.join(found, ids["conv_id"].eqNullSafe(found["conversation"]), "left").select(
+        "conv_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in conversations.REPORT],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("digest", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digest of the rules' spans, all spans as text, and the number of those that the trees add."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = personal_data.with_personal_data(docs, personal_data.fit_chooser(docs)).select(
+        "doc_id", F.col("personal.base").alias("base"), F.transform("personal.added", lambda s: s.dropFields("chance")).alias("added"))
+    of = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in personal_data.KINDS]
+    return found.select("doc_id", *of, F.sha2(personal_data.listed(F.col("base")), 256).alias("base_sha256"),
+                        personal_data.listed(F.concat("base", "added")).alias("spans"), F.size("added").cast("long").alias("n_added"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_sharding, op2_token_files, op3_decontamination, op4_chat, op5_language, op6_near_duplicates,
-                            op7_toxicity, op8_pieces, op9_near_vectors, op10_repeated_units)}
+                            op7_toxicity, op8_pieces, op9_near_vectors, op10_repeated_units, op11_conversation_repair, op12_personal_data, op13_source_divergence)}

@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.distinct_words import release
 from tidemark.llm.store import stored
 
 LEAST_WORDS = 5
@@ -57,6 +58,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     names = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"), F.col(text_col).alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             rows, high, low, first, last = [], [], [], [], []
             for k, text in enumerate(batch.column(2)):

@@ -40,4 +40,81 @@ OP6 = f"""with recursive words as (select doc_id, regexp_extract_all(translate(c
   select c.node as doc_id, z.n as n_shingles, c.least as component_id, c.node = c.least as kept
   from (select node, min(other) as least from reach group by 1) as c join sizes as z on z.doc_id = c.node"""
 
-SQL = {"op3_decontamination": OP3, "op4_chat": OP4, "op6_near_duplicates": OP6, "op9_near_vectors": OP9}
+
+
+def _cheapest(ways: str) -> str:
+    return f"list_sort([{ways}])[1]"
+
+
+def _way(cost: str, letter: str, rest: str, turn: str | None = None) -> str:
+    said = f"list_prepend({turn}, {rest}.r)" if turn else f"{rest}.r"
+    return f"{{'c': {cost} + {rest}.c, 'a': '{letter}' || {rest}.a, 'r': {said}}}"
+
+
+#: What a user or assistant turn makes of the states: nothing said, system, user, assistant.
+_TURN = {0: ("user", 2), 1: ("user", 2), 2: ("assistant", 3), 3: ("user", 2)}
+_OVER_ROW = ", ".join(_cheapest(", ".join([
+    _way("4", "D", f"s{q}"),
+    (f"case when gone or initial not in ('{role[0]}'{', ' + repr('s') if q == 0 else ''}) then {{'c': 1000000000, 'a': '', 'r': cast([] as varchar[])}} "
+     + (f"when initial = 's' then {_way('open', 'K', 's1', 'said')} " if q == 0 else "") + f"else {_way('open', 'K', f's{n}', 'said')} end"),
+    f"case when gone then {{'c': 1000000000, 'a': '', 'r': cast([] as varchar[])}} else {_way('3 + open', 'R', f's{n}', repr(role + ':') + ' || text')} end",
+])) + f" as b{q}" for q, (role, n) in _TURN.items())
+_INSERTED = ", ".join(_cheapest(", ".join([
+    f"b{q}", _way("3", "I", f"b{n}", repr(role + ":")),
+    _way("6", "II", f"b{_TURN[n][1]}").replace(f"'r': b{_TURN[n][1]}.r", f"'r': list_concat(['{role}:', '{_TURN[n][0]}:'], b{_TURN[n][1]}.r)"),
+])) + f" as s{q}" for q, (role, n) in _TURN.items())
+_EMPTY = "cast([] as varchar[])"
+
+OP11 = f"""with recursive lots as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as name from conversations),
+  numbered as (select range as b, 0 as k, cast(range as bigint) as v from range(256)),
+  tab(b, k, v) as (select * from numbered union all select b, k + 1, case when v % 2 = 1 then xor(v // 2, 3988292384) else v // 2 end from tab where k < 8),
+  table_ as (select list(v order by b) as t from tab where k = 8),
+  sums as (select l.*, xor(list_reduce(list_prepend(cast(4294967295 as bigint), list_transform(string_split(name, ''), lambda c: cast(ascii(c) as bigint))),
+    lambda h, c: xor(h // 256, t[cast(xor(h % 256, c) as integer) + 1])), 4294967295) % 20 as lot from lots as l, table_),
+  damaged as (select conv_id, turn, case when lot = 4 then 'user' else role end as role,
+    case when lot = 1 then '' when lot = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(case when lot = 0 then [] when lot = 3 then [1, 2] else [1] end) as copy from sums),
+  ordered as (select *, coalesce(cast(conv_id as varchar), '') as conv, sha256(text) as digest, not regexp_matches(text, '[^\\x20\\x09-\\x0D]') as blank,
+    not regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') as unended, left(role, 1) as initial from damaged),
+  placed as (select *, row_number() over w as i, count(*) over (partition by conv) as n, lead(initial) over w as next_initial
+    from ordered window w as (partition by conv order by turn nulls first, role, digest, copy)),
+  twins as (select *, not blank and row_number() over (partition by conv, role, digest order by i) > 1 as twin from placed),
+  faults as (select *, not blank and not twin and unended as cut, blank or twin as gone, role || ':' || text as said,
+    case when not blank and not twin and unended then 3 else 0 end as open from twins),
+  walk(conv, i, s0, s1, s2, s3) as (
+    select conv, max(i) + 1, {{'c': 0, 'a': '', 'r': {_EMPTY}}}, {{'c': 6, 'a': 'II', 'r': ['user:', 'assistant:']}},
+      {{'c': 3, 'a': 'I', 'r': ['assistant:']}}, {{'c': 0, 'a': '', 'r': {_EMPTY}}} from faults group by conv
+    union all
+    select conv, i, {_INSERTED} from (select f.conv, f.i, {_OVER_ROW} from walk as w join faults as f on f.conv = w.conv and f.i = w.i - 1) as k),
+  report as (select conv, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (where blank) as blank,
+    count(*) filter (where twin) as duplicate, count(*) filter (where cut) as truncated,
+    count(*) filter (where next_initial is not null and initial || next_initial not in ('su', 'ua', 'au')) as illegal from faults group by conv)
+  select o.conv_id, coalesce(r.gaps, 0) as gaps, coalesce(r.blank, 0) as blank, coalesce(r.duplicate, 0) as duplicate, coalesce(r.truncated, 0) as truncated,
+  coalesce(r.illegal, 0) as illegal, cast(coalesce(w.s0.c, 0) as bigint) as cost, coalesce(w.s0.a, '') as audit,
+  sha256(coalesce(array_to_string(w.s0.r, chr(10)), '')) as repaired_sha256
+  from (select distinct conv_id from conversations) as o left join report as r on r.conv = coalesce(cast(o.conv_id as varchar), '')
+  left join walk as w on w.conv = r.conv and w.i = 1"""
+
+OP13 = f"""with docs as (select doc_id, coalesce(lang, '') as lang, coalesce(source, '') as source, row_number() over () as d,
+    unnest(list_append(regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[a-z\\x{{80}}-\\x{{10FFFF}}]+'), null)) as term from documents),
+  kept as (select lang, term, cast(count(*) as hugeint) as n from docs where term is not null group by 1, 2 having count(distinct d) >= 10),
+  sizes as (select lang, count(*) as v, sum(n) as n from kept group by 1),
+  counts as (select lang, source, term, cast(count(*) as hugeint) as n from docs semi join kept using (lang, term) group by 1, 2, 3),
+  sums as (select lang, source, sum(n) as n from counts group by 1, 2),
+  groups as (select g.lang, g.source, coalesce(z.v, 0) as v, coalesce(s.n, 0) + 2 * z.v as d, z.n + 2 * z.v as lang_d
+    from (select distinct lang, source from docs) as g left join sizes as z using (lang) left join sums as s using (lang, source)),
+  shares as (select g.lang, g.source, k.term, c.n is not null as here, 1 + 1000000000::hugeint * (coalesce(c.n, 0) + 2) // g.d as p,
+    1 + 1000000000::hugeint * (k.n + 2) // g.lang_d as q
+    from groups as g join kept as k using (lang) left join counts as c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+  terms as (select lang, source, 'term' as part, term as item, (p - q) * (p - q) // (p + q) as value from shares where here and p > q),
+  far as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+    from shares as a join shares as b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by 1, 2, 3),
+  pairs as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(f.value, 0) as value
+    from groups as a join groups as b on a.lang = b.lang and a.source <> b.source
+    left join far as f on f.lang = a.lang and f.source = a.source and f.item = b.source)
+  select lang, source, part, item, cast(value as bigint) as value, cast(rank as integer) as rank
+  from (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from (from terms union all from pairs) as u) as r
+  where part = 'pair' or rank <= 10"""
+
+SQL = {"op3_decontamination": OP3, "op4_chat": OP4, "op6_near_duplicates": OP6, "op9_near_vectors": OP9, "op11_conversation_repair": OP11, "op13_source_divergence": OP13}
