@@ -1,6 +1,6 @@
 """Imports every module that registers queries."""
 
-from bindings import columns, jobs, models, relational  # noqa: F401
+from bindings import columns, jobs, lifecycle, models, relational  # noqa: F401
 from bindings.registry import ENTRIES
 
 __all__ = ["ENTRIES"]

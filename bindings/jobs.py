@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from bindings import oracle
 from bindings.feeds import STATES
 from bindings.registry import query
 from tidemark.plans import gate, oplog, serving, silver
-from tidemark.sources import lake, landing
+from tidemark.sources import lake, landing, versions
 from tidemark.sources.feeds import FEEDS, REGION_SCHEMA, REQUIRED_COLUMNS, read_lookup_csv
 from tidemark.streaming.pickup import pick_up
 
@@ -101,10 +102,19 @@ def _(c):
                                             F.countDistinct("hospital_overall_rating").alias("ratings"))
 
 
-@query("landed_manifest", "A05 A07 M04", f"select release_date, '{INFO}' as dataset, count(*) as rows from bronze_{INFO} group by 1")
+def sum_sql(columns) -> str:
+    """The content sum over text columns, as DuckDB says it."""
+    parts = ", ".join(f"coalesce('=' || cast({n} as varchar), '␀')" for n in sorted(columns))
+    return f"cast(sum(cast(('0x' || substr(sha256(concat_ws('␟', {parts})), 1, 15)) as bigint)) as varchar)"
+
+
+@query("landed_manifest", "A05 A07 M04", f"select release_date, '{INFO}' as dataset, count(*) as rows, {sum_sql(oracle.INFO_TEXT)} as content_sum from bronze_{INFO} group by 1")
 def _(c):
-    entry = landing.manifest_entry(c.bronze(INFO), "run-1", INFO, "bronze", "2026-01-01T00:00:00")
-    return entry.select("release_date", "dataset", "rows")
+    rows = c.bronze(INFO).drop("_ingested_at")
+    path = landing.land_release(rows.where("release_date = '1996-01-01'").drop("release_date"), c.scratch("landed"), INFO, "1996-01-01")
+    lake.write_partitions(rows.where("release_date <> '1996-01-01'"), path, ["release_date"])
+    back = lake.read_table(c.spark, path)
+    return landing.manifest_entry(back, "run-1", INFO, "bronze", "2026-01-01T00:00:00").select("release_date", "dataset", "rows", "content_sum")
 
 
 @query("lookup_from_csv", "A13 D02", """select r.census_region, r.census_division, count(*) as suppliers from supplier
@@ -126,13 +136,13 @@ def _(c):
 def _(c):
     root = c.scratch("incremental")
     bronze = c.bronze(INFO)
-    rounds = []
     for early in (True, False):
         part = bronze.where((F.col("release_date") < "1998-01-01") == F.lit(early))
         lake.write_partitions(part, f"{root}/bronze/{INFO}", ["release_date"])
-        rounds.append(silver.refresh_silver(c.spark, f"{root}/bronze", f"{root}/silver", f"{root}/quarantine", datasets=[INFO])[0])
-    rows = [(i + 1, r["rows_in"], r["quarantined"], r["rows_out"], len(r["releases"])) for i, r in enumerate(rounds)]
-    return c.spark.createDataFrame(rows, "round int, rows_in bigint, quarantined bigint, rows_out bigint, releases bigint")
+        silver.refresh_silver(c.spark, f"{root}/bronze", f"{root}/silver", f"{root}/quarantine", datasets=[INFO])
+    log = lake.read_table(c.spark, silver.done_log(f"{root}/silver"))          # an entry for each time a release was processed
+    return log.withColumn("round", F.dense_rank().over(Window.orderBy("done_at"))).groupBy("round").agg(
+        *[F.sum(n).alias(n) for n in ("rows_in", "quarantined", "rows_out")], F.count(F.lit(1)).alias("releases"))
 
 
 @query("quarantine_rows", "A11", f"select release_date, reason as _reject_reason, count(*) as n from clean_{INFO} where reason <> '' group by 1, 2")
@@ -152,68 +162,70 @@ def _(c):
     return lake.read_table(c.spark, f"{root}/silver/hcahps").drop("_ingested_at")
 
 
-@query("snapshot_counts", "A14 A15 H03", """select 'dim_hospital' as table_name, count(*) as row_count from dim union all
-  select 'fct_measure_scores', count(*) from facts union all select 'dim_measure', count(*) from measures""")
-def _(c):
-    folder = c.scratch("snapshot")
-    lake.publish_snapshot({"dim_hospital": c.dim, "fct_measure_scores": c.facts, "dim_measure": c.measures}, folder, "v1")
-    tables = lake.open_snapshot(c.spark, folder)
-    counts = [c.spark.sql(f"select '{name}' as table_name, count(*) as row_count from {name}") for name in tables]
-    return reduce(DataFrame.unionByName, counts)
-
-
 # --- checks ----------------------------------------------------------------------------
 KEYS = {"hospitals": "facility_id, release_date", "measure_scores": "facility_id, measure_id, release_date",
         "hcahps": "facility_id, measure_id, release_date"}
 SILVER = {"hospitals": "silver_hospitals", "measure_scores": "silver_measures", "hcahps": "silver_survey"}
 
 
-def _check(dataset: str, name: str, severity: str, observed: str, test: str) -> str:
-    return (f"select '{dataset}' as dataset, '{name}' as check_name, '{severity}' as severity, v {test} as passed, "
-            f"cast(v as varchar) as observed from (select cast(coalesce(({observed}), 0) as decimal(24,3)) as v) as x")
+#: What is counted of each table by release, and the limits on these numbers; ``newest`` and ``before`` are the last two releases.
+_COUNTED = {
+    "hospitals": {"odd": "overall_rating not between 1 and 5", "unrated": "overall_rating is null"},
+    "measure_scores": {"odd": "lower_estimate > higher_estimate", "unread": "score is null and compared_to_national ilike '%national%'",
+                       "strays": "(facility_id, release_date) not in (select (facility_id, release_date) from silver_hospitals)"},
+    "hcahps": {"odd": "star_rating not between 1 and 5", "beyond": "answer_percent not between 0 and 100"},
+}
+_LIMITS = {
+    "row_count_positive": ("error", "any_value(r.n)", "> 0"),
+    "business_key_unique": ("error", "any_value(twice)", "= 0"),
+    "facility_id_not_null": ("error", "sum(b.nameless)", "= 0"),
+    "release_volume_change_pct": ("error", "round(100.0 * abs(any_value(r.n) - any_value(r.before)) / any_value(r.before), 2)", "<= 25"),
+}
+_OWN_LIMITS = {
+    "hospitals": {"overall_rating_in_range": ("error", "sum(b.odd)", "= 0"), "overall_rating_null_pct": ("warn", "round(100.0 * any_value(r.unrated) / any_value(r.n), 2)", "<= 60"),
+                  "freshness_days": ("warn", f"any_value(date_diff('day', cast(r.release_date as date), date '{AS_OF}'))", "<= 200")},
+    "measure_scores": {"ci_bounds_ordered": ("error", "sum(b.odd)", "= 0"), "unparseable_score_count": ("warn", "sum(b.unread)", "<= 5"),
+                       "orphan_facility_pct": ("warn", "round(100.0 * any_value(r.strays) / any_value(r.n), 3)", "<= 1")},
+    "hcahps": {"star_rating_in_range": ("error", "sum(b.odd)", "= 0"), "answer_percent_in_range": ("error", "sum(b.beyond)", "= 0")},
+}
+
+
+def _table_checks(t: str) -> str:
+    """All checks of a table, from one table of counts by release."""
+    counted = ", ".join(f"cast(count(*) filter (where {rule}) as double) as {name}" for name, rule in _COUNTED[t].items())
+    limits = _LIMITS | _OWN_LIMITS[t]
+    seen = ", ".join(f"cast(coalesce({value}, 0) as decimal(24,3)) as {name}" for name, (_, value, _) in limits.items())
+    wide = (f"select {seen} from (select *, lag(n) over (order by release_date) as before from (select release_date, cast(count(*) as double) as n, count(*) filter (where facility_id is null) as nameless, "
+            f"{counted} from {SILVER[t]} group by 1) as a) as b join (select * from (select *, lag(n) over (order by release_date) as before from (select release_date, cast(count(*) as double) as n, "
+            f"{counted} from {SILVER[t]} group by 1) as x) as y order by release_date desc limit 1) as r on true "
+            f"cross join (select count(*) as twice from (select {KEYS[t]} from {SILVER[t]} group by all having count(*) > 1) as d) as k")
+    said = " ".join(f"when '{name}' then v {test}" for name, (_, _, test) in limits.items())
+    grade = " ".join(f"when '{name}' then '{severity}'" for name, (severity, _, _) in limits.items())
+    return (f"select '{t}' as dataset, check_name, case check_name {grade} end as severity, case check_name {said} end as passed, cast(v as varchar) as observed "
+            f"from (unpivot ({wide}) on * into name check_name value v) as u")
 
 
-def _latest(t: str) -> str:
-    return f"(select * from {SILVER[t]} where release_date = (select max(release_date) from {SILVER[t]})) as latest"
+def _contract(t: str) -> str:
+    wanted = ", ".join(f"('{n}')" for n in REQUIRED_COLUMNS[t])
+    return (f"select '{t}' as dataset, 'schema_contract' as check_name, 'error' as severity, count(*) filter (where d.column_name is null) = 0 as passed, "
+            f"coalesce(string_agg(w.name, ',' order by w.name) filter (where d.column_name is null), 'ok') as observed "
+            f"from (values {wanted}) as w(name) left join (describe from {SILVER[t]}) as d on d.column_name = w.name")
 
 
-def _contract(t: str) -> str:
-    return f"select '{t}' as dataset, 'schema_contract' as check_name, 'error' as severity, true as passed, 'ok' as observed"
-
-
-_CHECKS = [_contract(t) for t in SILVER]
-for _t, _s in SILVER.items():
-    _CHECKS += [
-        _check(_t, "row_count_positive", "error", f"select count(*) from {_latest(_t)}", "> 0"),
-        _check(_t, "business_key_unique", "error", f"select count(*) from (select {KEYS[_t]} from {_s} group by all having count(*) > 1) as d", "= 0"),
-        _check(_t, "facility_id_not_null", "error", f"select count(*) from {_s} where facility_id is null", "= 0"),
-        _check(_t, "release_volume_change_pct", "error", f"""select round(100.0 * cast(abs(max_by(n, release_date) - min_by(n, release_date)) as double) / nullif(min_by(n, release_date), 0), 2)
-          from (select release_date, count(*) as n from {_s} group by 1 order by 1 desc limit 2) as w""", "<= 25"),
-    ]
-_CHECKS += [
-    _check("hospitals", "overall_rating_in_range", "error", "select count(*) from silver_hospitals where overall_rating not between 1 and 5", "= 0"),
-    _check("hospitals", "overall_rating_null_pct", "warn", f"select round(100.0 * cast(count(*) filter (where overall_rating is null) as double) / count(*), 2) from {_latest('hospitals')}", "<= 60"),
-    _check("hospitals", "freshness_days", "warn", f"select date_diff('day', cast(max(release_date) as date), date '{AS_OF}') from silver_hospitals", "<= 200"),
-    _check("measure_scores", "ci_bounds_ordered", "error", "select count(*) from silver_measures where lower_estimate > higher_estimate", "= 0"),
-    _check("measure_scores", "unparseable_score_count", "warn", "select count(*) from silver_measures where score is null and compared_to_national ilike '%national%'", "<= 5"),
-    _check("measure_scores", "orphan_facility_pct", "warn", f"""select round(100.0 * cast(count(*) filter (where h.facility_id is null) as double) / count(*), 3)
-      from {_latest('measure_scores')} left join silver_hospitals as h on h.facility_id = latest.facility_id and h.release_date = latest.release_date""", "<= 1"),
-    _check("hcahps", "star_rating_in_range", "error", "select count(*) from silver_survey where star_rating not between 1 and 5", "= 0"),
-    _check("hcahps", "answer_percent_in_range", "error", "select count(*) from silver_survey where answer_percent not between 0 and 100", "= 0"),
-]
+CHECKS = [q for t in SILVER for q in (_contract(t), _table_checks(t))]
 
 
 def silver_tables(c):
     return {"hospitals": c.hospitals, "measure_scores": c.measure_scores, "hcahps": c.hcahps}
 
 
-@query("silver_gate", "J01 J02 J03 J04 J05 J06 J07 J08 J09 J10 J11 J12 J13 D10", " union all ".join(_CHECKS))
+@query("silver_gate", "J01 J02 J03 J04 J05 J06 J07 J08 J09 J10 J11 J12 J13 D10", " union all ".join(CHECKS))
 def _(c):
     results = gate.run_checks(silver_tables(c), AS_OF)
     return results.select("dataset", "check_name", "severity", "passed", "observed")
 
 
-@query("blocking_checks", "J15", " union all ".join(f"select dataset, check_name from ({x}) as c where severity = 'error' and not passed" for x in _CHECKS))
+@query("blocking_checks", "J15", " union all ".join(f"select dataset, check_name from ({x}) as c where severity = 'error' and not passed" for x in CHECKS))
 def _(c):
     return gate.failed_errors(gate.run_checks(silver_tables(c), AS_OF)).select("dataset", "check_name")
 
@@ -230,16 +242,6 @@ def _(c):
     return gate.quarantine_rates(reduce(DataFrame.unionByName, parts)).select("dataset", "severity", "passed", "observed")
 
 
-@query("schema_differences", "H04 J01", " union all ".join(
-    f"select '{t}' as dataset, true as passed, 'ok' as observed, count(*) as rows_checked from {SILVER[t]}" for t in SILVER))
-def _(c):
-    tables = silver_tables(c)
-    assert set(tables) == set(REQUIRED_COLUMNS)
-    counts = reduce(DataFrame.unionByName, [df.agg(F.lit(t).alias("dataset"), F.count(F.lit(1)).alias("rows_checked"))
-                                            for t, df in tables.items()])
-    return gate.schema_checks(tables).select("dataset", "passed", "observed").join(counts, "dataset")
-
-
 # --- logs ------------------------------------------------------------------------------
 # Orders as runs: started on the order day, P still running, F failed, O succeeded some time later.
 RUN_STATES = """select cast(o_orderkey as varchar) as run_id, o_orderpriority as source, cast(o_orderdate as timestamp) as started_at,
@@ -320,10 +322,9 @@ def _(c):
   union all select 'silver', cast(sum(rows_out) as bigint), count(*), cast(sum(quarantined) as bigint) from ({LAYER_NOW}) as s
   union all select 'gold', (select count(*) from orders) + (select count(*) from customer), 0, 0""")
 def _(c):
-    sizes = [c.table(t).agg(F.lit(t).alias("k"), F.count(F.lit(1)).alias("v")) for t in ("orders", "customer")]
-    published = (sizes[0].unionByName(sizes[1])
-                 .agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("tables")))   # one entry per table
-    return serving.layer_totals(landing.current_manifest(manifest_log(c)), oplog.task_tables(task_log(c), "silver"), published)
+    folder = c.scratch("layers")
+    versions.publish_snapshot({t: c.table(t) for t in ("orders", "customer")}, folder, "v1")
+    return serving.layer_totals(landing.current_manifest(manifest_log(c)), oplog.task_tables(task_log(c), "silver"), versions.published(c.spark, folder))
 
 
 @query("bronze_volume", "L17 E13", f"select release_date, cast(sum(rows) as bigint) as rows from ({MANIFEST_NOW}) as m group by 1")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from bindings.jobs import sum_sql
 from bindings.registry import query
 from tidemark.functions import numeric
 from tidemark.functions.keys import attribute_hash, fingerprint
@@ -264,8 +265,6 @@ def _(c):
         *[shape.max_for_item("event_type", t, "value").alias(f"{t}_max") for t in ("click", "error", "purchase", "signup", "view")])
 
 
-@query("content_sums", "A05", """select o_orderpriority, count(*) as row_count, cast(sum(cast(('0x' || substr(sha256(concat_ws('␟',
-  coalesce('=' || cast(o_custkey as varchar), '␀'), coalesce('=' || cast(o_orderkey as varchar), '␀'), coalesce('=' || o_orderstatus, '␀'))), 1, 15)) as bigint)) as varchar) as content_sum
-  from orders group by 1""")
+@query("content_sums", "A05", f"select o_orderpriority, count(*) as row_count, {sum_sql(['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate'])} as content_sum from orders group by 1")
 def _(c):
-    return fingerprint(c.table("orders"), ["o_orderpriority"], ["o_orderkey", "o_custkey", "o_orderstatus"])
+    return fingerprint(c.table("orders"), ["o_orderpriority"])

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from bindings import feeds
 from tidemark.plans import gold, silver
 from tidemark.session import shared_folder
+from tidemark.sources import lake
 from tidemark.sources.feeds import measure_catalog, state_regions
 
 _OPEN: dict[tuple[str, str], Chain] = {}
@@ -42,7 +43,7 @@ class Chain:
     def bronze(self, feed: str) -> DataFrame:
         """A landed feed: all rows derived from the test tables, stored once."""
         if feed not in self._landed:
-            self._landed[feed] = self._stored(f"bronze/{feed}", lambda: feeds.bronze(self.spark, self.sf_dir, feed))
+            self._landed[feed] = self._stored(f"bronze/{feed}", lambda: feeds.bronze(self.spark, self.sf_dir, feed), by_release=True)
         return self._landed[feed]
 
     def scratch(self, name: str) -> str:
@@ -52,7 +53,7 @@ class Chain:
     def _stored(self, name: str, build: Callable[[], DataFrame], by_release: bool = False) -> DataFrame:
         path, table = f"{self.folder}/{name}", build()
         if by_release:
-            table.hint("rebalance", "release_date").write.mode("overwrite").partitionBy("release_date").parquet(path)
+            lake.write_partitions(table, path, ["release_date"])
         else:
             table.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(table.schema).parquet(path).select(*table.columns)
@@ -67,16 +68,16 @@ class Chain:
 
     @cached_property
     def hospitals(self) -> DataFrame:
-        return self._stored("hospitals", lambda: silver.silver_hospitals(self.bronze("hospital_info")))
+        return self._stored("hospitals", lambda: silver.silver_hospitals(self.bronze("hospital_info")), by_release=True)
 
     @cached_property
     def measure_scores(self) -> DataFrame:
         parts = {n: self.bronze(n) for n in ("complications_deaths", "unplanned_visits")}
-        return self._stored("measure_scores", lambda: silver.silver_measures(parts))
+        return self._stored("measure_scores", lambda: silver.silver_measures(parts), by_release=True)
 
     @cached_property
     def hcahps(self) -> DataFrame:
-        return self._stored("hcahps", lambda: silver.silver_survey(self.bronze("hcahps")))
+        return self._stored("hcahps", lambda: silver.silver_survey(self.bronze("hcahps")), by_release=True)
 
     @property
     def stg_hospitals(self) -> DataFrame:

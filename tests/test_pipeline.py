@@ -2,7 +2,6 @@ import datetime as dt
 import json
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import dicts
@@ -10,7 +9,7 @@ from fixtures import HOSPITAL, MEASURE, SURVEY, bronze
 from tidemark.plans import gate, oplog, serving
 from tidemark.plans import refresh as job
 from tidemark.plans.silver import refresh_silver
-from tidemark.sources import lake, landing
+from tidemark.sources import lake, landing, versions
 from tidemark.sources.feeds import CATALOG_SCHEMA, measure_catalog, read_lookup_csv, state_regions
 from tidemark.streaming.pickup import pick_up
 
@@ -172,11 +171,11 @@ def test_two_releases_end_to_end(spark, tmp_path):
     assert land_all(spark, root, FIRST, ["3"] * 8) == [True] * 4
     assert land_all(spark, root, FIRST, ["3"] * 8) == [False] * 4
     first = job.refresh(spark, root, as_of="2026-08-01")
-    facts_before = lake.open_snapshot(spark, folders.marts)["fct_measure_scores"].count()
+    facts_before = versions.open_snapshot(spark, folders.marts)["fct_measure_scores"].count()
     assert land_all(spark, root, SECOND, ["4", "2"] + ["3"] * 6) == [True] * 4
     second = job.refresh(spark, root, as_of="2026-08-01")
-    assert lake.newest_version(spark, folders.marts) == second != first
-    tables = lake.open_snapshot(spark, folders.marts)
+    assert versions.newest_version(spark, folders.marts) == second != first
+    tables = versions.open_snapshot(spark, folders.marts)
     assert tables["mart_hospital_scorecard"].count() == tables["dim_hospital"].count() == 8
     history = tables["dim_hospital_history"]
     assert history.count() == 10 and history.where("is_current").count() == 8
@@ -185,11 +184,11 @@ def test_two_releases_end_to_end(spark, tmp_path):
     assert spark.sql("select count(*) from mart_state_summary where state = 'CA'").first()[0] == 1
 
     third = job.refresh(spark, root, as_of="2026-08-01")     # nothing new
-    with pytest.raises(AnalysisException):                    # a published version is not written again
-        lake.Snapshot(spark, folders.marts, first).put("dim_hospital", tables["dim_hospital"].limit(1))
-    again = lake.open_snapshot(spark, folders.marts)
+    with pytest.raises(ValueError, match="is published"):     # a published version is not written again
+        versions.Snapshot(spark, folders.marts, first)
+    again = versions.open_snapshot(spark, folders.marts)
     assert again["fct_measure_scores"].count() == 96
-    old = lake.open_snapshot(spark, folders.marts, first)     # an earlier version stays readable
+    old = versions.open_snapshot(spark, folders.marts, first)     # an earlier version stays readable
     assert old["fct_measure_scores"].count() == facts_before
 
     runs = oplog.run_states(oplog.read_log(spark, folders.ops, "pipeline_runs"))
@@ -201,7 +200,7 @@ def test_two_releases_end_to_end(spark, tmp_path):
     assert serving.check_summary(results).first().asDict() == {"passed": 23, "warnings": 0, "blocking": 0, "checks": 23}
     manifest = landing.current_manifest(oplog.read_log(spark, folders.ops, "ingest_manifest"))
     assert manifest.count() == 8 and serving.bronze_volume(manifest).count() == 2
-    layers = {r["layer"]: r["rows"] for r in dicts(serving.layer_totals(manifest, oplog.task_tables(tasks, "silver"), lake.published(spark, folders.marts)))}
+    layers = {r["layer"]: r["rows"] for r in dicts(serving.layer_totals(manifest, oplog.task_tables(tasks, "silver"), versions.published(spark, folders.marts)))}
     assert layers["bronze"] == 2 * 64 and layers["silver"] == 64
 
 
@@ -212,7 +211,7 @@ def test_a_blocked_run_publishes_nothing(spark, tmp_path):
     land_all(spark, root, SECOND, ["9"] * 4)
     with pytest.raises(gate.QualityError, match="overall_rating_in_range"):
         job.refresh(spark, root, as_of="2026-08-01")
-    assert lake.newest_version(spark, folders.marts) == good
+    assert versions.newest_version(spark, folders.marts) == good
     runs = oplog.run_states(oplog.read_log(spark, folders.ops, "pipeline_runs"))
     assert sorted(r.status for r in runs.collect()) == ["failed", "success"]
     assert "QualityError" in runs.where("status = 'failed'").first().error

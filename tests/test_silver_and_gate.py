@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import dicts
 from fixtures import HOSPITAL, MEASURE, SURVEY, bronze
@@ -12,7 +13,7 @@ def test_clean_hospital(spark):
         HOSPITAL, {**HOSPITAL, "facility_id": "050002", "hospital_overall_rating": "Not Available"}]), "hospital_info")
     rows = {r["facility_id"]: r for r in dicts(parts.rows)}
     first = rows["050001"]
-    assert first["facility_name"] == "Mercy General Hospital" and first["zip_code"] == "00958"
+    assert first["facility_name"] == "Riverbend County Clinic" and first["zip_code"] == "00607"
     assert first["overall_rating"] == 4 and first["has_emergency_services"] and first["is_birthing_friendly"]
     assert first["mort_measures_better"] is None and first["overall_rating_footnote"] is None
     assert rows["050002"]["overall_rating"] is None and parts.bad.isEmpty()
@@ -34,7 +35,7 @@ def test_measures(spark):
         MEASURE, {**MEASURE, "measure_id": "PSI_90", "score": "12..4", "end_date": "not a date"},
         {**MEASURE, "facility_id": "bad", "score": "x"}]), "complications_deaths")
     rows = {r["measure_id"]: r for r in dicts(parts.rows)}
-    assert rows["MORT_30_AMI"]["denominator"] == 1204.0 and rows["MORT_30_AMI"]["period_end"] == dt.date(2025, 6, 30)
+    assert rows["MORT_30_AMI"]["denominator"] == 2560.0 and rows["MORT_30_AMI"]["period_end"] == dt.date(2024, 9, 30)
     assert rows["PSI_90"]["score"] is None and rows["PSI_90"]["period_end"] is None
     assert rows["PSI_90"]["number_of_patients"] is None and rows["PSI_90"]["source_dataset"] == "complications_deaths"
     assert parts.stats.first().unparseable_numerics == 1
@@ -46,7 +47,7 @@ def test_measures_dedupe_runs_per_feed(spark):
              for n in ("complications_deaths", "unplanned_visits")}
     both = silver.silver_measures(feeds)
     assert sorted((r.source_dataset, r.score) for r in both.collect()) == [("complications_deaths", 9.0), ("unplanned_visits", 9.0)]
-    assert gate.key_check("measure_scores", both).first().observed == "1.000"
+    assert gate.repeated_keys("measure_scores", both).first().repeated_keys == 1
 
 
 def silver_tables(spark, hospitals=None):
@@ -75,8 +76,39 @@ def test_gate_stops_on_duplicates_and_ranges(spark):
 def test_gate_reports_missing_columns_and_goes_on(spark):
     tables = silver_tables(spark)
     tables["hospitals"] = tables["hospitals"].drop("overall_rating")
-    failed = {(r["dataset"], r["check_name"], r["observed"]) for r in dicts(gate.failed_errors(gate.run_checks(tables, "2026-02-01")))}
-    assert failed == {("hospitals", "schema_contract", "overall_rating")}
+    rows = dicts(gate.run_checks(tables, "2026-02-01"))
+    failed = {(r["dataset"], r["check_name"], r["observed"]) for r in rows if not r["passed"]}
+    assert len(rows) == 23 and failed == {("hospitals", "schema_contract", "overall_rating"), ("hospitals", "overall_rating_in_range", "did not run"),
+                                          ("hospitals", "overall_rating_null_pct", "did not run")}
+
+
+def test_column_of_another_type_fails_its_own_checks_only(spark):
+    tables = silver_tables(spark)
+    as_text = tables["hospitals"].withColumn("overall_rating", F.col("overall_rating").cast("string"))
+    failed = {(r["dataset"], r["check_name"]): r["observed"] for r in dicts(gate.run_checks({**tables, "hospitals": as_text}, "2026-02-01")) if not r["passed"]}
+    assert failed == {("hospitals", "schema_contract"): "overall_rating is string, not int"}
+    broken = tables["hospitals"].withColumn("overall_rating", F.lit("four"))       # breaks while it runs
+    rows = {(r["dataset"], r["check_name"]): r for r in dicts(gate.run_checks({**tables, "hospitals": broken}, "2026-02-01")) if not r["passed"]}
+    assert set(rows) == {("hospitals", "schema_contract"), ("hospitals", "overall_rating_in_range")}
+    assert "CAST_INVALID_INPUT" in rows["hospitals", "overall_rating_in_range"]["message"]
+
+
+def test_ledger_counts_only_what_was_written(spark):
+    """Counts of one release replaced in a ledger of two: the same checks as from all rows, also when faults are gone."""
+    def tables(second):
+        return silver_tables(spark, [{**HOSPITAL, "release_date": "2025-10-01"}, second])
+
+    bad = tables({**HOSPITAL, "hospital_overall_rating": "9"})
+    bad["hospitals"] = bad["hospitals"].unionByName(bad["hospitals"].where("overall_rating = 9"))
+    log = gate.measure(spark, bad)
+    good = tables({**HOSPITAL, "hospital_overall_rating": "5"})
+    newest = "2026-01-01"
+    recounted = gate.measure(spark, good, {"hospitals": [newest]})
+    assert {r.release_date for r in recounted.collect()} == {newest}
+    ledger = gate.current_ledger(log.unionByName(recounted))
+    plain = {(r["dataset"], r["check_name"]): (r["passed"], r["observed"]) for r in dicts(gate.run_checks(good, "2026-02-01"))}
+    assert {(r["dataset"], r["check_name"]): (r["passed"], r["observed"]) for r in dicts(gate.run_checks(good, "2026-02-01", ledger=ledger))} == plain
+    assert plain["hospitals", "business_key_unique"] == plain["hospitals", "overall_rating_in_range"] == (True, "0.000")
 
 
 def test_empty_table_fails_only_on_rows(spark):
@@ -88,7 +120,7 @@ def test_empty_table_fails_only_on_rows(spark):
 
 def test_volume_swing_and_age(spark):
     rows = [{**HOSPITAL, "facility_id": f"05000{i}", "release_date": "2026-04-01"} for i in range(4)] + [HOSPITAL]
-    failed = {r["check_name"]: r["observed"] for r in dicts(gate.table_checks("hospitals", silver_tables(spark, rows)["hospitals"], "2027-04-01"))
+    failed = {r["check_name"]: r["observed"] for r in dicts(gate.table_checks("hospitals", gate.measure(spark, silver_tables(spark, rows)), "2027-04-01"))
               if not r["passed"]}
     assert failed == {"release_volume_change_pct": "300.000", "freshness_days": "365.000"}
 

@@ -159,6 +159,7 @@ TIER_FLOORS = [
 ]
 LOWEST_TIER = "Low performer"
 NO_TIER = "Insufficient data"
+OUTCOME_TIERS = [*(name for _, name in TIER_FLOORS), LOWEST_TIER, NO_TIER]
 MIN_RATED_MEASURES = 5
 DOMAIN_PERCENTILES = {
     "mortality_percentile": "Mortality",

@@ -27,8 +27,10 @@ def latest_release(df: DataFrame, release: str = "release_date") -> Column:
     return df.agg(F.max(release)).scalar()
 
 
-def latest_slice(df: DataFrame, release: str = "release_date") -> DataFrame:
-    return df.where(F.col(release) == latest_release(df, release))
+def latest_slice(df: DataFrame, release: str = "release_date", newest: str | None = None) -> DataFrame:
+    """Rows of the newest release; where it is known, only its folder is opened."""
+    day = latest_release(df, release) if newest is None else F.lit(newest).cast(df.schema[release].dataType)
+    return df.where(F.col(release) == day)
 
 
 def latest_slice_per_feed(df: DataFrame, feed: str = "source_dataset", release: str = "release_date") -> DataFrame:
@@ -37,6 +39,16 @@ def latest_slice_per_feed(df: DataFrame, feed: str = "source_dataset", release:
     return df.join(newest, [feed, release], "left_semi")
 
 
+def newest_by_group(df: DataFrame, group: str, values: Sequence[str], order: str) -> DataFrame:
+    """For each group the newest non-NULL value of each column; equal orders are settled by the larger value.
+
+    Distinct (group, value, order) rows are gathered first, by hash and in the map
+    tasks; the ordered pick, which has to sort, sees a few rows per release.
+    """
+    few = df.select(group, order, *values).distinct()
+    return few.groupBy(group).agg(*[value_at_newest(v, F.col(order)).alias(v) for v in values])
+
+
 def before_latest(df: DataFrame, release: str = "release_date") -> DataFrame:
     return df.where(F.col(release) < latest_release(df, release))
 

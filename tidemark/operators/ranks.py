@@ -25,15 +25,31 @@ from pyspark.sql import functions as F
 from tidemark.session import shared_folder
 
 
-def value_pieces(df: DataFrame, groups: Sequence[str], value: str, pieces: int | None = None) -> DataFrame:
+def value_counts(df: DataFrame, groups: Sequence[str], value: str, counted: dict[str, Column]) -> DataFrame:
+    """``(groups, value, counts)``: rows per distinct value, as many counts as are asked for; NULL values are left out.
+
+    Such tables can be kept and merged: the counts of any set of releases, or of
+    coarser groups, are sums over theirs.
+    """
+    return df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(*[F.count_if(c).alias(n) for n, c in counted.items()])
+
+
+def _merged(df: DataFrame, groups: Sequence[str], value: str, rows: str | None) -> DataFrame:
+    """Rows per distinct value; a row of ``df`` stands for as many as ``rows`` says."""
+    known = df.where(F.col(value).isNotNull()).groupBy(F.struct(*groups).alias("_g"), F.col(value).alias("_v"))
+    if rows is None:
+        return known.agg(F.count(F.lit(1)).alias("n_eq"))
+    return known.agg(F.sum(rows).alias("n_eq")).where("n_eq > 0")
+
+
+def value_pieces(df: DataFrame, groups: Sequence[str], value: str, pieces: int | None = None, rows: str | None = None) -> DataFrame:
     """Distinct values ``(_g, _v, n_eq, _piece)``, stored; pieces follow each other by group and value.
 
     Without a number of pieces there are as many as shuffle partitions, or fewer
-    where adaptive execution gathers small ones.
+    where adaptive execution gathers small ones.  The table is written when the
+    plan is built, in the shared folder, and stays there for plans that read it.
     """
-    counts = (df.where(F.col(value).isNotNull())
-                .groupBy(F.struct(*groups).alias("_g"), F.col(value).alias("_v"))
-                .agg(F.count(F.lit(1)).alias("n_eq")))
+    counts = _merged(df, groups, value, rows)
     laid = counts.repartitionByRange("_g", "_v") if pieces is None else counts.repartitionByRange(pieces, "_g", "_v")
     placed = laid.withColumn("_piece", F.spark_partition_id())
     path = f"{shared_folder(df.sparkSession)}/tidemark/pieces-{uuid.uuid4().hex}"
@@ -41,12 +57,13 @@ def value_pieces(df: DataFrame, groups: Sequence[str], value: str, pieces: int |
     return df.sparkSession.read.schema(placed.schema).parquet(path)
 
 
-def ordered_counts(df: DataFrame, groups: Sequence[str], value: str, pieces: int | None = None) -> DataFrame:
+def ordered_counts(df: DataFrame, groups: Sequence[str], value: str, pieces: int | None = None, rows: str | None = None) -> DataFrame:
     """One row per (group, distinct value) with ``n_eq``, ``n_lt`` and ``n_total`` rows.
 
-    NULL values are left out; ``value`` is numeric.
+    NULL values are left out; ``value`` is numeric.  With ``rows``, a column of stored
+    value counts, a row of ``df`` stands for that many.
     """
-    placed = value_pieces(df, groups, value, pieces)
+    placed = value_pieces(df, groups, value, pieces, rows)
     group = Window.partitionBy("_g")
     before = group.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (placed.groupBy("_g", "_piece").agg(F.sum("n_eq").alias("_rows"))
@@ -98,9 +115,9 @@ def quantiles_from_counts(counts: DataFrame, groups: Sequence[str], value: str,
     return grouped.select(*groups, "n_total", *[between(n, q).alias(n) for n, q in probs.items()])
 
 
-def group_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
-    """Exact quantiles per group; groups without any value do not appear."""
-    return quantiles_from_counts(ordered_counts(df, groups, value), groups, value, probs)
+def group_quantiles(df: DataFrame, groups: Sequence[str], value: str, probs: dict[str, float], rows: str | None = None) -> DataFrame:
+    """Exact quantiles per group, also from stored value counts; groups without any value do not appear."""
+    return quantiles_from_counts(ordered_counts(df, groups, value, rows=rows), groups, value, probs)
 
 
 def percent_rank_from_counts() -> Column:

@@ -31,10 +31,14 @@ def reject_reasons(rules: dict[str, Column]) -> Column:
     return F.array_join(broken_rules(rules), ";")
 
 
+def all_kept(rules: dict[str, Column]) -> Column:
+    """Whether a row clearly keeps every rule; never NULL."""
+    return reduce(and_, (F.coalesce(ok, F.lit(False)) for ok in rules.values()), F.lit(True))
+
+
 def route(df: DataFrame, rules: dict[str, Column]) -> Routed:
     """Rows that keep every rule, and the others with their reasons; only these get the text."""
-    all_kept = reduce(and_, (F.coalesce(ok, F.lit(False)) for ok in rules.values()), F.lit(True))
-    return Routed(df.where(all_kept), df.where(~all_kept).withColumn(REASON, reject_reasons(rules)))
+    return Routed(df.where(all_kept(rules)), df.where(~all_kept(rules)).withColumn(REASON, reject_reasons(rules)))
 
 
 def key_rules(id_column: str = "facility_id", state_column: str = "state") -> dict[str, Column]:

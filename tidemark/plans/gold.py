@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +15,7 @@ from tidemark.functions.keys import attribute_hash
 from tidemark.functions.numeric import exact_mean, percent, round_half_away
 from tidemark.operators import history as hist
 from tidemark.operators import ranks
-from tidemark.operators.newest import before_latest, latest_release, latest_slice, value_at_newest
+from tidemark.operators.newest import before_latest, latest_release, latest_slice, newest_by_group
 from tidemark.operators.shape import max_for_item, newer_than_loaded, not_yet_done
 from tidemark.sources.feeds import DIM_HOSPITAL_CONTRACT
 
@@ -46,13 +48,66 @@ def hospital_versions(stg: DataFrame, guard_nulls: bool = False) -> DataFrame:
     ``guard_nulls`` gives NULL attributes a mark of their own in the hash; the
     default leaves them out, apart from the rating.
     """
-    digest = attribute_hash(TRACKED, null_marks={"overall_rating": "NA"}, guard_nulls=guard_nulls)
-    carry = ["facility_name", "state", "hospital_type", "ownership", "ownership_group", "overall_rating",
-             "has_emergency_services", "is_birthing_friendly"]
-    return (hist.versions(stg, "facility_id", "release_date", digest, carry)
+    return (hist.versions(stg, "facility_id", "release_date", tracked_hash(guard_nulls), CARRIED)
                 .withColumnRenamed("version_key", "hospital_version_key"))
 
 
+CARRIED = ["facility_name", "state", "hospital_type", "ownership", "ownership_group", "overall_rating",
+           "has_emergency_services", "is_birthing_friendly"]
+
+
+def tracked_hash(guard_nulls: bool = False) -> Column:
+    return attribute_hash(TRACKED, null_marks={"overall_rating": "NA"}, guard_nulls=guard_nulls)
+
+
+@dataclass(frozen=True)
+class History:
+    """Version history in a form that takes new releases.
+
+    ``closed`` holds versions that another one of their facility follows; they
+    change only when a release before their end does.  ``latest`` holds each
+    facility's last version and the releases it was seen in.
+    """
+
+    closed: DataFrame
+    latest: DataFrame
+
+    def versions(self, releases: DataFrame) -> DataFrame:
+        """The history over the given ``release_date`` days."""
+        calendar = hist.release_calendar(releases)
+        starts = self.closed.unionByName(self.latest.withColumn("next_from", F.lit(None).cast("date")), allowMissingColumns=True)
+        return (hist.versions_of(starts, calendar, "facility_id", "release_date", CARRIED)
+                    .withColumnRenamed("version_key", "hospital_version_key"))
+
+
+def _split(starts: DataFrame) -> History:
+    return History(starts.where("next_from is not null").drop("seen"), starts.where("next_from is null").drop("next_from"))
+
+
+def merge_releases(history: History | None, stg: DataFrame) -> History:
+    """The history after releases past all known ones arrived (``stg`` holds only their rows).
+
+    The result's ``closed`` holds what was closed now, to be kept beside what was closed before.
+    """
+    return _split(hist.merged_starts(history.latest if history else None, stg, "facility_id", "release_date", tracked_hash(), CARRIED))
+
+
+def reopen_releases(history: History, stg: DataFrame, releases: Sequence[str]) -> History:
+    """The history after releases between known ones arrived, changed or went.
+
+    Only facilities that were or are in these releases are worked out anew, from
+    all of their rows in ``stg``; all other versions are passed on.  ``releases`` are
+    literals, so the facilities are found in their folders alone.
+    """
+    days = [F.lit(r).cast("date") for r in sorted(releases)]
+    here = stg.where(F.col("release_date").isin(days)).select("facility_id")
+    were = history.latest.where(F.arrays_overlap("seen", F.array(*days))).select("facility_id")
+    touched = here.unionByName(were).distinct()
+    again = merge_releases(None, stg.join(touched, "facility_id", "left_semi"))
+    return History(history.closed.join(touched, "facility_id", "left_anti").unionByName(again.closed),
+                   history.latest.join(touched, "facility_id", "left_anti").unionByName(again.latest))
+
+
 def survey_pivot(stg: DataFrame) -> DataFrame:
     return stg.groupBy("facility_id", "release_date").agg(
         *[max_for_item("measure_id", item, "star_rating").alias(name) for name, item in fv.STAR_ITEMS.items()],
@@ -61,10 +116,18 @@ def survey_pivot(stg: DataFrame) -> DataFrame:
         F.max("response_rate_pct").alias("response_rate_pct"))
 
 
-def benchmark_scores(stg: DataFrame, catalog: DataFrame) -> DataFrame:
+def score_counts(stg: DataFrame) -> DataFrame:
+    """Rows per measure, release and score, and how many of them are rated: all that medians and percentiles need."""
+    rated = labels.is_rated(F.col("score"), F.col("comparison_category"))
+    placeable = F.col("measure_id").isNotNull() & F.col("release_date").isNotNull()
+    return ranks.value_counts(stg.where(placeable), ["measure_id", "release_date"], "score", {"n": F.lit(True), "n_rated": rated})
+
+
+def benchmark_scores(stg: DataFrame, catalog: DataFrame, stored_counts: DataFrame | None = None) -> DataFrame:
     """Each score with the median of its peers, the gap to it and a percentile (100 is best).
 
-    Peers are the rated rows of the same measure and release.
+    Peers are the rated rows of the same measure and release; ``stored_counts`` are the
+    ``score_counts`` of these releases, where they are kept.
     """
     groups = ["measure_id", "release_date"]
     known = catalog.select("measure_id", "lower_is_better", "domain", "measure_short_name")
@@ -75,7 +138,8 @@ def benchmark_scores(stg: DataFrame, catalog: DataFrame) -> DataFrame:
     # A row without measure or release has no peers.  Saying so here gives every
     # branch below the same filter, and with it the same shuffle to reuse.
     placeable = F.col("measure_id").isNotNull() & F.col("release_date").isNotNull()
-    counts = ranks.ordered_counts(stg.where(rated & placeable), groups, "score")
+    counts = (ranks.ordered_counts(stg.where(rated & placeable), groups, "score") if stored_counts is None
+              else ranks.ordered_counts(stored_counts, groups, "score", rows="n_rated"))
     medians = (ranks.quantiles_from_counts(counts, groups, "score", {"national_median": 0.5})
                     .select(*groups, "national_median"))
     peers = (counts.join(medians, groups)
@@ -123,8 +187,8 @@ def with_load_time(df: DataFrame) -> DataFrame:
     return df.withColumn("loaded_at", F.current_timestamp())
 
 
-def dim_hospital(stg: DataFrame, regions: DataFrame) -> DataFrame:
-    named = latest_slice(stg).join(regions.select("state", "state_name", "census_region"), "state", "left")
+def dim_hospital(stg: DataFrame, regions: DataFrame, newest: str | None = None) -> DataFrame:
+    named = latest_slice(stg, newest=newest).join(regions.select("state", "state_name", "census_region"), "state", "left")
     return named.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in DIM_HOSPITAL_CONTRACT.fields])
 
 
@@ -134,9 +198,8 @@ def dim_hospital_history(versions: DataFrame, regions: DataFrame) -> DataFrame:
 
 
 def dim_measure(stg: DataFrame, catalog: DataFrame) -> DataFrame:
-    observed = stg.groupBy("measure_id").agg(
-        value_at_newest("measure_name", F.col("release_date")).alias("source_measure_name"),
-        value_at_newest("source_dataset", F.col("release_date")).alias("source_dataset"))
+    observed = (newest_by_group(stg, "measure_id", ["measure_name", "source_dataset"], "release_date")
+                .withColumnRenamed("measure_name", "source_measure_name"))
     return observed.join(catalog, "measure_id", "left").select(
         "measure_id",
         F.coalesce("measure_short_name", "source_measure_name").alias("measure_short_name"),
@@ -162,17 +225,21 @@ def _outcomes(facts: DataFrame) -> DataFrame:
 
 
 def hospital_scorecard(dim: DataFrame, facts: DataFrame, experience: DataFrame, stg: DataFrame,
-                       min_measures: int = fv.MIN_RATED_MEASURES, latest_facts: DataFrame | None = None) -> DataFrame:
+                       min_measures: int = fv.MIN_RATED_MEASURES, latest_facts: DataFrame | None = None,
+                       latest_survey: DataFrame | None = None, previous: DataFrame | None = None) -> DataFrame:
     """One row per hospital of the dimension.
 
     ``latest_facts`` replaces the single newest release of the facts, for
-    example by each feed's own newest one.  Every joined table is reduced to
+    example by each feed's own newest one; ``latest_survey`` that of the survey, and
+    ``previous`` (see ``previous_ratings``) the search through all older rows of ``stg``.  Every joined table is reduced to
     one row per facility first, so the joins share one partitioning by it.
     """
     current = latest_facts if latest_facts is not None else latest_slice(facts)
-    before = before_latest(stg).groupBy("facility_id").agg(
-        value_at_newest("overall_rating", F.col("release_date")).alias("previous_overall_rating"))
-    survey = latest_slice(experience).select("facility_id", F.col("summary_star").alias("patient_experience_star"),
+    before = previous if previous is not None else (
+        newest_by_group(before_latest(stg), "facility_id", ["overall_rating"], "release_date")
+        .withColumnRenamed("overall_rating", "previous_overall_rating"))
+    surveyed = latest_survey if latest_survey is not None else latest_slice(experience)
+    survey = surveyed.select("facility_id", F.col("summary_star").alias("patient_experience_star"),
                                              "pct_definitely_recommend", "completed_surveys")
 
     def counted(name: str) -> Column:
@@ -194,6 +261,13 @@ def hospital_scorecard(dim: DataFrame, facts: DataFrame, experience: DataFrame,
     return ranks.descending_rank(tiered, ["state"], "outcome_composite", "state_rank", ["facility_id"], few_values=True)
 
 
+def previous_ratings(history: DataFrame, newest: str) -> DataFrame:
+    """Each facility's newest known rating before a release, from its versions: a version's rows share its rating."""
+    older = history.where(F.col("valid_from") < F.lit(newest).cast("date"))
+    return (newest_by_group(older, "facility_id", ["overall_rating"], "valid_from")
+            .withColumnRenamed("overall_rating", "previous_overall_rating"))
+
+
 def state_summary(scorecard: DataFrame) -> DataFrame:
     rating, composite = F.col("overall_rating"), F.col("outcome_composite")
     return scorecard.groupBy("state", "state_name", "census_region").agg(
@@ -211,8 +285,13 @@ def state_summary(scorecard: DataFrame) -> DataFrame:
 BENCHMARK_QUANTILES = {"p10": 0.10, "p25": 0.25, "median": 0.5, "p75": 0.75, "p90": 0.90}
 
 
-def measure_benchmarks(facts: DataFrame, measures: DataFrame) -> DataFrame:
+def measure_benchmarks(facts: DataFrame, measures: DataFrame, stored_counts: DataFrame | None = None) -> DataFrame:
     """Distribution of every measure per release over all scored rows."""
+    return named_benchmarks(benchmark_numbers(facts, stored_counts), measures)
+
+
+def benchmark_numbers(facts: DataFrame, stored_counts: DataFrame | None = None) -> DataFrame:
+    """The numbers of ``measure_benchmarks``; quantiles come from ``score_counts`` of the same releases where these are kept."""
     groups = ["measure_id", "release_date"]
     category = F.col("comparison_category")
     rated = F.count_if(category.isin(fv.RATED_CATEGORIES))
@@ -220,12 +299,24 @@ def measure_benchmarks(facts: DataFrame, measures: DataFrame) -> DataFrame:
         F.count("score").alias("hospitals_reported"),
         round_half_away(percent(F.count_if(category == "better"), rated), 2).alias("pct_better"),
         round_half_away(percent(F.count_if(category == "worse"), rated), 2).alias("pct_worse"))
-    spread = ranks.group_quantiles(facts, groups, "score", BENCHMARK_QUANTILES)
+    spread = (ranks.group_quantiles(facts, groups, "score", BENCHMARK_QUANTILES) if stored_counts is None
+              else ranks.group_quantiles(stored_counts, groups, "score", BENCHMARK_QUANTILES, rows="n"))
+    return shares.join(spread, groups, "left").select(
+        *groups, "hospitals_reported", *[round_half_away(F.col(q), 3).alias(q) for q in BENCHMARK_QUANTILES], "pct_better", "pct_worse")
+
+
+def named_benchmarks(numbers: DataFrame, measures: DataFrame) -> DataFrame:
+    """One row per measure and release, with the names the measures have now."""
     named = measures.select("measure_id", "measure_short_name", "domain", "unit")
-    return (shares.join(spread, groups, "left").join(named, "measure_id")
-                  .select("measure_id", "measure_short_name", "domain", "unit", "release_date", "hospitals_reported",
-                          *[round_half_away(F.col(q), 3).alias(q) for q in BENCHMARK_QUANTILES],
-                          "pct_better", "pct_worse"))
+    return numbers.join(named, "measure_id").select(
+        "measure_id", "measure_short_name", "domain", "unit", "release_date", "hospitals_reported", *BENCHMARK_QUANTILES, "pct_better", "pct_worse")
+
+
+def quantiles_over(counts: DataFrame, releases: Sequence[str] | None = None) -> DataFrame:
+    """Quantiles of every measure over a set of releases together, from their stored counts alone."""
+    some = counts if releases is None else counts.where(F.col("release_date").isin([F.lit(r).cast("date") for r in releases]))
+    spread = ranks.group_quantiles(some, ["measure_id"], "score", BENCHMARK_QUANTILES, rows="n")
+    return spread.select("measure_id", F.col("n_total").alias("scores"), *[round_half_away(F.col(q), 3).alias(q) for q in BENCHMARK_QUANTILES])
 
 
 def rating_changes(history: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources.lake import read_table_or_none
+
 RUN_EVENTS = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("source", T.StringType()),
@@ -41,6 +43,10 @@ def read_log(spark: SparkSession, folder: str, log: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(f"{folder}/{log}")
 
 
+def read_log_or_none(spark: SparkSession, folder: str, log: str) -> DataFrame | None:
+    return read_table_or_none(spark, f"{folder}/{log}", merge=True)
+
+
 def run_event(spark: SparkSession, run_id: str, source: str, trigger: str, status: str, at: datetime,
               error: str | None = None) -> DataFrame:
     return spark.createDataFrame([(run_id, source, trigger, status, at, error)], RUN_EVENTS)
@@ -70,9 +76,11 @@ def run_states(events: DataFrame) -> DataFrame:
         F.max_by("status", last).alias("status"), F.max_by("error", last).alias("error"))
 
 
-def close_abandoned(events: DataFrame, at: Column, run_id: str | None = None) -> DataFrame:
-    """Failure events for runs that are still running (one run, or all)."""
+def close_abandoned(events: DataFrame, at: Column, run_id: str | None = None, before: datetime | None = None) -> DataFrame:
+    """Failure events for runs that are still running (one run, those that began ``before``, or all)."""
     states = run_states(events).where(F.col("status") == "running")
+    if before is not None:
+        states = states.where(F.col("started_at") < F.lit(before))
     if run_id is not None:
         states = states.where(F.col("run_id") == run_id)
     return states.select("run_id", "source", "trigger", F.lit("failed").alias("status"),

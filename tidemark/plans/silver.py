@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import parse
 from tidemark.operators.newest import newest_per_key
-from tidemark.operators.routing import key_rules, lost_in_parsing, route
-from tidemark.operators.shape import not_yet_done
-from tidemark.session import together
+from tidemark.operators.routing import REASON, all_kept, key_rules, reject_reasons
+from tidemark.session import shared_folder, together
 from tidemark.sources import lake
 from tidemark.sources.feeds import FEEDS, Feed
 
@@ -110,35 +111,39 @@ class SilverParts:
 COUNTS = ["rows_in", "quarantined", "unparseable_numerics"]
 
 
-def silver_parts(bronze: DataFrame, dataset: str) -> SilverParts:
+def judged(bronze: DataFrame, dataset: str) -> DataFrame:
+    """Every bronze row once: its silver columns, whether it is accepted, and of a rejected row the cleaned text and reasons.
+
+    ``_lost`` marks an accepted row with a score that is there and gave no number.
+    """
     plan = PLANS[dataset]
     needed = [source for source, _ in plan.spec.values()]
     cleaned = parse.add_missing_text(parse.clean_text_columns(bronze), needed)
     rule, column = plan.required
     rules = key_rules() | {rule: F.col(column).isNotNull()}
-    routed = route(cleaned, rules)
-
-    good = routed.good.select(
+    accepted = all_kept(rules)
+    rejected = F.when(~accepted, F.struct(*[F.col(c) for c in cleaned.columns if c not in ("release_date", "_ingested_at")]))
+    lost = F.col("score").isNotNull() & parse.to_double(F.col("score")).isNull() if "score" in plan.spec else F.lit(False)
+    return cleaned.select(
         *[parser(F.col(source)).alias(name) for name, (source, parser) in plan.spec.items()],
         *[F.lit(value).alias(name) for name, value in plan.labels],
-        "release_date", "_ingested_at")
-    rows = newest_per_key(good, plan.feed.key, [F.desc_nulls_last("_ingested_at")])
-    return SilverParts(good, routed.bad, rows, _counts_by_release(cleaned, rules, plan))
+        "release_date", "_ingested_at", accepted.alias("_accepted"), (accepted & lost).alias("_lost"), rejected.alias("_text"),
+        F.when(~accepted, reject_reasons(rules)).alias(REASON))
 
 
-def _counts_by_release(cleaned: DataFrame, rules: dict[str, Column], plan: FeedPlan) -> DataFrame:
-    """One pass over the few columns the rules and the score need.
+def parts_of(rows: DataFrame, dataset: str) -> SilverParts:
+    """What becomes of judged rows."""
+    plan = PLANS[dataset]
+    good = rows.where("_accepted").select(*plan.spec, *[name for name, _ in plan.labels], "release_date", "_ingested_at")
+    bad = rows.where("not _accepted").select("_text.*", "release_date", "_ingested_at", REASON)
+    newest = newest_per_key(good, plan.feed.key, [F.desc_nulls_last("_ingested_at")])
+    counts = rows.groupBy("release_date").agg(
+        F.count(F.lit(1)).alias("rows_in"), F.count_if(~F.col("_accepted")).alias("quarantined"), F.count_if("_lost").alias("unparseable_numerics"))
+    return SilverParts(good, bad, newest, counts)
 
-    Counted from the table rather than by an observer on the write: an observer
-    on a map stage counts again what a lost executor makes Spark recompute.
-    """
-    keeps_all = F.lit(True)
-    for ok in rules.values():
-        keeps_all = keeps_all & F.coalesce(ok, F.lit(False))
-    score = F.when(keeps_all, F.col("score")) if "score" in plan.spec else F.lit(None).cast("string")
-    return cleaned.groupBy("release_date").agg(
-        F.count(F.lit(1)).alias("rows_in"), F.count_if(~keeps_all).alias("quarantined"),
-        lost_in_parsing(score, parse.to_double(score)).alias("unparseable_numerics"))
+
+def silver_parts(bronze: DataFrame, dataset: str) -> SilverParts:
+    return parts_of(judged(bronze, dataset), dataset)
 
 
 def silver_hospitals(bronze: DataFrame) -> DataFrame:
@@ -158,46 +163,95 @@ def silver_survey(bronze: DataFrame) -> DataFrame:
     return silver_parts(bronze, "hcahps").rows
 
 
-def pending_releases(spark: SparkSession, bronze_path: str, table_path: str, feed: Feed, full_refresh: bool) -> DataFrame:
-    available = lake.releases_in(spark, bronze_path)
-    if "source_dataset" in feed.partitions:
-        done = lake.releases_in(spark, table_path, feed.partitions).where(F.col("source_dataset") == feed.name)
+# --- the job ---------------------------------------------------------------------------
+DONE = ("dataset string, release_date string, content_sum string, rows_in bigint, rows_out bigint, quarantined bigint, "
+        "duplicates_removed bigint, unparseable_numerics bigint, done_at timestamp")
+
+
+def done_log(silver_folder: str) -> str:
+    """Where a silver folder notes the releases that were processed, wholly rejected ones too."""
+    return f"{silver_folder}/releases_done"
+
+
+def releases_done(spark: SparkSession, silver_folder: str) -> DataFrame:
+    """The newest entry per (dataset, release); one row each, whatever the size of the releases."""
+    log = lake.read_table_or_none(spark, done_log(silver_folder))
+    if log is None:
+        return spark.createDataFrame([], DONE)
+    names = [c.split()[0] for c in DONE.split(", ")]
+    newest = F.max_by(F.struct(*names), F.struct("done_at", "content_sum", "rows_in", "rows_out"))
+    return log.groupBy("dataset", "release_date").agg(newest.alias("_r")).select("_r.*")
+
+
+def pending_releases(spark: SparkSession, bronze_folder: str, silver_folder: str, dataset: str, full_refresh: bool = False,
+                     landed: DataFrame | None = None) -> list[tuple[str, str | None]]:
+    """``(release, content sum)`` of what silver has not seen in this form, one per release.
+
+    ``landed (dataset, release_date, content_sum)`` is the current manifest: a release
+    whose sum differs from the one that was processed is pending again.  Without
+    it, the releases are the names of the bronze folders and their sums unknown.
+    """
+    if landed is None:
+        there = {f["release_date"]: None for f in lake.partition_folders(spark, f"{bronze_folder}/{dataset}")}
     else:
-        done = lake.releases_in(spark, table_path)
-    return not_yet_done(available, done.select("release_date"), ["release_date"], full_refresh)
+        there = {r.release_date: r.content_sum for r in landed.where(F.col("dataset") == dataset).select("release_date", "content_sum").collect()}
+    done = {r.release_date: r.content_sum for r in releases_done(spark, silver_folder).where(F.col("dataset") == dataset).collect()}
+    return sorted((release, total) for release, total in there.items()
+                  if full_refresh or release not in done or (total is not None and done[release] != total))
 
 
-def refresh_feed(spark: SparkSession, bronze_folder: str, silver_folder: str, quarantine_folder: str,
-                 name: str, full_refresh: bool = False) -> dict:
-    """Bring one feed's pending releases to silver; returns its counts."""
-    feed = FEEDS[name]
-    bronze_path, table_path = f"{bronze_folder}/{name}", f"{silver_folder}/{feed.table}"
-    pending = pending_releases(spark, bronze_path, table_path, feed, full_refresh)
-    releases = sorted(r[0] for r in pending.collect())  # one row per release
-    entry = {"table": f"{feed.table}<-{name}", "releases": releases, "rows_in": 0, "rows_out": 0,
-             "quarantined": 0, "duplicates_removed": 0, "unparseable_numerics": 0}
-    if not releases:
-        return entry
-    parts = silver_parts(lake.read_releases(spark, bronze_path, releases), name)
+def process_releases(spark: SparkSession, bronze_folder: str, silver_folder: str, quarantine_folder: str, dataset: str,
+                     releases: Sequence[tuple[str, str | None]]) -> list[dict]:
+    """Rebuild some releases of a feed from all of their bronze rows; one entry of counts each.
+
+    Bronze is read once: the judged rows are stored by whether they are accepted,
+    and counts, rejects and newest rows are taken from there.
+    """
+    feed, names = FEEDS[dataset], [r for r, _ in releases]
+    table_path = f"{silver_folder}/{feed.table}"
+    stage = f"{shared_folder(spark)}/tidemark/judged-{uuid.uuid4().hex}"
+    rows = judged(lake.read_releases(spark, f"{bronze_folder}/{dataset}", names), dataset)
+    rows.write.option("compression", "zstd").partitionBy("_accepted").parquet(stage)
+    parts = parts_of(spark.read.schema(rows.schema).parquet(stage), dataset)
     counted, _, _ = together(
         spark, parts.by_release.collect,  # one row per release
         lambda: lake.write_partitions(parts.rows, table_path, feed.partitions),
-        lambda: lake.replace_quarantine(parts.bad, f"{quarantine_folder}/{name}", releases))
-    entry |= {n: sum(r[n] for r in counted) for n in COUNTS}
-    for r in counted:
-        if r["rows_in"] == r["quarantined"]:  # nothing was written over what an earlier run left
-            where = {"source_dataset": name, "release_date": r["release_date"]}
+        lambda: lake.replace_quarantine(parts.bad, f"{quarantine_folder}/{dataset}", names))
+    counts = {r["release_date"]: r for r in counted}
+    for release in names:
+        if release not in counts or counts[release]["rows_in"] == counts[release]["quarantined"]:
+            # nothing was written over what an earlier run left
+            where = {"source_dataset": dataset, "release_date": release}
             lake.empty_partition(parts.rows, table_path, {p: where[p] for p in feed.partitions})
-    written = lake.read_table(spark, table_path).where(F.col("release_date").isin(releases))
+    written = lake.read_table(spark, table_path).where(F.col("release_date").isin(names))
     if "source_dataset" in feed.partitions:
-        written = written.where(F.col("source_dataset") == name)
-    entry["rows_out"] = written.count()
-    entry["duplicates_removed"] = entry["rows_in"] - entry["quarantined"] - entry["rows_out"]
-    return entry
+        written = written.where(F.col("source_dataset") == dataset)
+    out = dict(written.groupBy("release_date").count().collect())
+    moment = datetime.now(UTC).replace(tzinfo=None)
+    entries = []
+    for release, total in releases:
+        n = counts[release].asDict() if release in counts else dict.fromkeys(COUNTS, 0)
+        kept = out.get(release, 0)
+        entries.append({"dataset": dataset, "release_date": release, "content_sum": total, "rows_in": n["rows_in"], "rows_out": kept,
+                        "quarantined": n["quarantined"], "duplicates_removed": n["rows_in"] - n["quarantined"] - kept,
+                        "unparseable_numerics": n["unparseable_numerics"], "done_at": moment})
+    note = spark.createDataFrame(entries, DONE).drop("dataset").coalesce(1)
+    note.write.mode("append").parquet(f"{done_log(silver_folder)}/dataset={dataset}")     # a folder each: feeds are noted side by side
+    lake.remove(spark, stage)
+    return entries
+
+
+def refresh_feed(spark: SparkSession, bronze_folder: str, silver_folder: str, quarantine_folder: str,
+                 name: str, full_refresh: bool = False, landed: DataFrame | None = None) -> dict:
+    """Bring one feed's pending releases to silver; returns its counts."""
+    pending = pending_releases(spark, bronze_folder, silver_folder, name, full_refresh, landed)
+    entries = process_releases(spark, bronze_folder, silver_folder, quarantine_folder, name, pending) if pending else []
+    return {"table": f"{FEEDS[name].table}<-{name}", "releases": [r for r, _ in pending],
+            **{n: sum(e[n] for e in entries) for n in ("rows_in", "rows_out", "quarantined", "duplicates_removed", "unparseable_numerics")}}
 
 
 def refresh_silver(spark: SparkSession, bronze_folder: str, silver_folder: str, quarantine_folder: str,
-                   full_refresh: bool = False, datasets: list[str] | None = None) -> list[dict]:
+                   full_refresh: bool = False, datasets: list[str] | None = None, landed: DataFrame | None = None) -> list[dict]:
     """Process pending releases of every feed; one dictionary of counts per feed.
 
     Tables are refreshed side by side; feeds that share a table follow one another.
@@ -207,7 +261,7 @@ def refresh_silver(spark: SparkSession, bronze_folder: str, silver_folder: str,
         by_table.setdefault(FEEDS[name].table, []).append(name)
 
     def refresh_table(names: list[str]) -> list[dict]:
-        return [refresh_feed(spark, bronze_folder, silver_folder, quarantine_folder, n, full_refresh) for n in names]
+        return [refresh_feed(spark, bronze_folder, silver_folder, quarantine_folder, n, full_refresh, landed) for n in names]
 
     done = together(spark, *[lambda names=names: refresh_table(names) for names in by_table.values()])
     return [entry for entries in done for entry in entries]

@@ -44,6 +44,15 @@ REQUIRED_COLUMNS = {
     "hcahps": ["facility_id", "measure_id", "star_rating", "answer_percent", "completed_surveys", "release_date"],
 }
 
+#: Types of these columns.
+SILVER_TYPES = {
+    **dict.fromkeys(["facility_id", "facility_name", "state", "hospital_type", "ownership", "release_date", "measure_id",
+                     "compared_to_national", "source_dataset"], "string"),
+    **dict.fromkeys(["overall_rating", "star_rating", "answer_percent", "completed_surveys"], "int"),
+    **dict.fromkeys(["score", "lower_estimate", "higher_estimate"], "double"),
+    **dict.fromkeys(["period_start", "period_end"], "date"), "has_emergency_services": "boolean",
+}
+
 DIM_HOSPITAL_CONTRACT = T.StructType([
     T.StructField("facility_id", T.StringType(), False),
     T.StructField("facility_name", T.StringType()),

@@ -1,14 +1,12 @@
-"""Partitioned Parquet folders: scans, writes, quarantine and snapshots."""
+"""Partitioned Parquet folders: scans, writes and quarantine."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 ROWS_PER_FILE = 5_000_000
 
@@ -82,76 +80,28 @@ def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path, merge=True).where(~F.col("_marker")).drop("_marker")
 
 
-def releases_in(spark: SparkSession, path: str, partitions: Sequence[str] = ("release_date",)) -> DataFrame:
-    """Distinct partition values; the scan reads no data column."""
-    table = read_table_or_none(spark, path)
-    if table is None:
-        return spark.createDataFrame([], T.StructType([T.StructField(p, T.StringType()) for p in partitions]))
-    return table.select(*partitions).distinct()
+def partition_folders(spark: SparkSession, path: str) -> list[dict[str, str]]:
+    """Partition values by folder names alone, such as ``{"release_date": "2026-07-22"}``; no file is opened.
 
-
-class Snapshot:
-    """Tables written under one version and made visible together.
-
-    ``put`` writes a table and hands back the stored one, so tables that build
-    on it read what was written instead of computing it again.  ``commit``
-    appends the entry that makes the version visible; until then readers keep
-    the version before.
+    A folder counts when it holds a data file.  A path that is absent has none.
     """
-
-    def __init__(self, spark: SparkSession, folder: str, version: str) -> None:
-        self.spark, self.folder, self.version = spark, folder, version
-        self.tables: dict[str, DataFrame] = {}
-
-    def put(self, name: str, table: DataFrame, partitions: Sequence[str] = ()) -> DataFrame:
-        """Write one table; with ``partitions``, questions about one release open only its folder.
-
-        A table that this version already has is refused: what was published stays as it was.
-        """
-        path = f"{self.folder}/version={self.version}/{name}"
-        columns = table.columns
-        rows = table.hint("rebalance", *partitions) if partitions else table
-        (rows.write.mode("error").option("maxRecordsPerFile", ROWS_PER_FILE).option("compression", "zstd")
-             .partitionBy(*partitions).parquet(path))
-        self.tables[name] = self.spark.read.schema(table.schema).parquet(path).select(*columns)
-        return self.tables[name]
-
-    def commit(self) -> DataFrame:
-        """The published entry, with row counts taken from the files just written."""
-        counts = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
-                  for name, df in self.tables.items()]
-        pairs = F.collect_list(F.struct("table_name", "row_count"))      # one pair per table
-        entry = (reduce(DataFrame.unionByName, counts)
-                 .agg(F.map_from_entries(F.sort_array(pairs)).alias("tables"))
-                 .select(F.lit(self.version).alias("version"), F.current_timestamp().alias("published_at"), "tables"))
-        entry.write.mode("append").json(f"{self.folder}/published")
-        return published(self.spark, self.folder).where(F.col("version") == self.version)
-
-
-def publish_snapshot(tables: Mapping[str, DataFrame], folder: str, version: str) -> DataFrame:
-    snapshot = Snapshot(next(iter(tables.values())).sparkSession, folder, version)
-    for name, table in tables.items():
-        snapshot.put(name, table)
-    return snapshot.commit()
-
-
-PUBLISHED_SCHEMA = "version string, published_at timestamp, tables map<string,bigint>"
-
-
-def published(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(PUBLISHED_SCHEMA).json(f"{folder}/published")
-
-
-def newest_version(spark: SparkSession, folder: str) -> str:
-    return published(spark, folder).agg(F.max_by("version", F.struct("published_at", "version"))).first()[0]
-
-
-def open_snapshot(spark: SparkSession, folder: str, version: str | None = None) -> dict[str, DataFrame]:
-    """Register every table of a snapshot as a temporary view of the same name."""
-    version = version or newest_version(spark, folder)
-    names = published(spark, folder).where(F.col("version") == version).select(F.explode(F.map_keys("tables"))).distinct()
-    tables = {}
-    for (name,) in sorted(names.collect()):  # one row per table name
-        tables[name] = spark.read.parquet(f"{folder}/version={version}/{name}")   # release folders read as dates
-        tables[name].createOrReplaceTempView(name)
-    return tables
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hadoop.Path(path)):
+        return []
+    found, open_ = [], [(path, {})]
+    while open_:
+        folder, values = open_.pop()
+        entries = [(e.getPath().getName(), e.isDirectory()) for e in fs.listStatus(hadoop.Path(folder))]
+        if values and any(not is_folder and name[0] not in "._" for name, is_folder in entries):
+            found.append(values)
+        open_ += [(f"{folder}/{name}", values | {key: value}) for name, is_folder in entries if is_folder
+                  for key, eq, value in [name.partition("=")] if eq]
+    return sorted(found, key=lambda v: sorted(v.items()))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of one's own, such as a table between two steps."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(hadoop.Path(path), True)
