@@ -7,7 +7,7 @@ import shutil
 import tempfile
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import chat, conversations, decontaminate, divergence, language, near_duplicates, personal_data, pieces, repeated_units, sharding, token_files, toxicity, vector_duplicates
@@ -131,12 +131,16 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("digest", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
 
 
+def _counting(kind: str) -> Callable[[Column, Column], Column]:
+    return lambda n, s: n + (s["kind"] == kind).cast("long")
+
+
 def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and digest of the rules' spans, all spans as text, and the number of those that the trees add."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = personal_data.with_personal_data(docs, personal_data.fit_chooser(docs)).select(
         "doc_id", F.col("personal.base").alias("base"), F.transform("personal.added", lambda s: s.dropFields("chance")).alias("added"))
-    of = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in personal_data.KINDS]
+    of = [F.aggregate("base", F.lit(0).cast("long"), _counting(k)).alias(f"n_{k}") for k in personal_data.KINDS]
     return found.select("doc_id", *of, F.sha2(personal_data.listed(F.col("base")), 256).alias("base_sha256"),
                         personal_data.listed(F.concat("base", "added")).alias("spans"), F.size("added").cast("long").alias("n_added"))
 
