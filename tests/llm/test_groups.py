@@ -10,6 +10,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
 from llm_cases import by_id, docs_of, folder  # noqa: F401
 from tidemark.llm.components import components
 from tidemark.llm.near_duplicates import near_duplicates
@@ -224,6 +225,20 @@ def test_a_whole_line_meets_an_inner_sentence(docs_of):
     assert found[0]["removed"] == [] and found[1]["text"] == "own words of this text here\nx"
 
 
+def test_repeats_in_scripts_without_spaces(docs_of):
+    one, other = "これは何度も繰り返される長い文章の一つであって、どこにでもある。", "別の文章がここに一つだけあるので、残るはずである。"
+    found = by_id(without_repeats(docs_of([f"{one}{other}", f"短い。{one}ここは別の終わり方をするので、そのまま残る。", f"{one * 20}", "短い。", "短い。"])))
+    assert [found[k]["text"] for k in (0, 3, 4)] == [f"{one}{other}", "短い。", "短い。"]
+    assert found[1]["text"] == "短い。ここは別の終わり方をするので、そのまま残る。" and found[2]["text"] == ""
+
+
+def test_repeats_beside_any_names(docs_of):
+    line = "one two three four five"
+    docs = docs_of([line, line]).select("*", *[F.lit("x").alias(c) for c in ("Removed", "__digest", "__some", "__cut", "cut", "row", "its_id", "high")])
+    found = by_id(without_repeats(docs))
+    assert found[1]["text"] == "" and found[1]["removed"] and found[0]["its_id"] == found[1]["row"] == "x"
+
+
 def test_repeats_with_null_and_equal_ids(docs_of):
     line = "one two three four five"
     rows = without_repeats(docs_of([(None, line), (2, line), (2, line)])).collect()

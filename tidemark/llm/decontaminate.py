@@ -183,12 +183,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
     Null and wordless texts have no words and no finds; so do null items.  A null
     item id is left out of ``items`` but its windows count.  Rows are neither
-    dropped nor moved: documents are not shuffled, whatever their columns; a column
-    named like ``found`` is refused.  Items go to the tasks in passes of bounded
+    dropped nor moved: documents are not shuffled; other columns pass through, but one
+    named like ``found``, in whatever case, gives way to it.  Texts are read whole, however
+    long; an empty table stays empty.  Items go to the tasks in passes of bounded
     size, each adding to what the pass before found.
     """
-    if found in docs.columns:
-        raise ValueError(f"column {found} exists")
+    docs = docs.drop(*[c for c in docs.columns if c.lower() == found.lower()])
     items = benchmark.select(F.col(item_col).cast("string").alias("id"), F.col(item_text_col).alias("text")).where("text is not null")
     size_of = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     passes = 1 + size_of // PASS_BYTES

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.distinct_words import WordMemory
 
 UNKNOWN = "und"
-#: The most labelled texts per language, and characters of each, that the network is fitted on.
-TEXTS_PER_LANGUAGE, CHARACTERS = 240, 800
+#: The most labelled texts per language that the network is fitted on; each is read whole.
+TEXTS_PER_LANGUAGE = 240
 EDGE, SYMBOLS = 256, 257
 #: Bytes of a word that the network reads in one go; a longer word is read in parts.
 PART = 40
@@ -103,8 +103,9 @@ class Network:
         """Adam on batches of words of equal length, a length as often as the words that have it."""
         rng, lengths, labels = np.random.default_rng(seed), np.array([len(w) for w in words]), np.asarray(labels)
         moments = {k: (np.zeros_like(w), np.zeros_like(w)) for k, w in self.weights.items()}
+        of_length = {n: np.flatnonzero(lengths == n) for n in np.unique(lengths).tolist()}
         for step in range(1, steps + 1):
-            same = np.flatnonzero(lengths == lengths[rng.integers(len(words))])
+            same = of_length[int(lengths[rng.integers(len(words))])]
             some = rng.choice(same, min(batch, len(same)), replace=False)
             _, slopes = self.slopes(_symbols([words[k] for k in some]), labels[some])
             pace = rate * (1 - step / (steps + 1)) * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
@@ -131,8 +132,7 @@ class Network:
         """A row for each word: the sums of label chances over its positions, and the number of positions."""
         parts, owner = [], []
         for k, word in enumerate(words):
-            raw = word.encode("utf-8", "surrogatepass")
-            parts += [raw[at:at + PART] for at in range(0, len(raw), PART)] or [raw]
+            parts += parts_of(word)
             owner += [k] * (len(parts) - len(owner))
         found = np.empty((len(parts), len(self.labels) + 1))
         by_length = np.array([len(p) for p in parts])
@@ -154,21 +154,25 @@ def _symbols(words: Sequence[bytes]) -> np.ndarray:
     return np.concatenate([edge, inner, edge])
 
 
-def _stretches(docs: DataFrame, id_col: str, text_col: str, label_col: str, texts: int, characters: int) -> list[Row]:
-    """``(label, part)`` of at most ``texts`` labelled texts per language, a stretch of each from a place that its hash chooses."""
+def _sampled(docs: DataFrame, id_col: str, text_col: str, label_col: str, texts: int) -> list[Row]:
+    """``(label, text)`` of at most ``texts`` labelled texts per language, chosen by the hash of their ids."""
     order = Window.partitionBy("label").orderBy("lot", "id")
     chosen = (docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
-              .select(F.col(id_col).cast("string").alias("id"), F.col(label_col).alias("label"),
-                      F.xxhash64(F.col(id_col), F.lit(5)).alias("lot"),
-                      F.substring(F.col(text_col), F.pmod(F.xxhash64(F.col(id_col), F.lit(7)), F.greatest(F.length(text_col) - characters, F.lit(1))).cast("int") + 1,
-                                  F.lit(characters)).alias("part"))
+              .select(F.col(id_col).cast("string").alias("id"), F.col(label_col).alias("label"), F.col(text_col).alias("text"),
+                      F.xxhash64(F.col(id_col), F.lit(5)).alias("lot"))
               .withColumn("place", F.row_number().over(order)).where(F.col("place") <= texts)
-              .orderBy("label", "place").select("label", "part"))
-    return [r for r in chosen.collect() if r.part.split()]         # at most ``texts`` short stretches per language
+              .orderBy("label", "place").select("label", "text"))
+    return [r for r in chosen.collect() if r.text.split()]         # at most ``texts`` of a language
+
+
+def parts_of(word: str) -> list[bytes]:
+    """The bytes of a word as the network reads them: in one part, or a long word in several."""
+    raw = word.encode("utf-8", "surrogatepass")
+    return [raw[at:at + PART] for at in range(0, len(raw), PART)] or [raw]
 
 
 def _known(parts: Sequence[tuple[str, str]]) -> frozenset[str]:
-    """Characters in at least one of 100 stretches of a language, and in two: a stray text in it makes no script known."""
+    """Characters in at least one of 100 texts of a language, and in two: a stray text in it makes no script known."""
     known: set[str] = set()
     for label in {k for k, _ in parts}:
         own = [set(part) for k, part in parts if k == label]
@@ -178,34 +182,37 @@ def _known(parts: Sequence[tuple[str, str]]) -> frozenset[str]:
 
 
 def least_score(network: Network, held_out: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
-                texts: int = TEXTS_PER_LANGUAGE, characters: int = CHARACTERS) -> float:
+                texts: int = TEXTS_PER_LANGUAGE) -> float:
     """The evidence score below which a text is in none of the network's languages.
 
-    The best of n labels never scores below 1/n, and text that tells nothing scores
-    just that.  The limit lies an eighth of the way from there to the score that 99
-    of 100 labelled texts reach which the network was not fitted on; clean texts of
-    a few words score well below those 99.  Without such texts or labels it is 0.
+    A text has to look at least as much like one language as single words do: the
+    limit is the score that all but one of 10,000 words reach by themselves, among the
+    distinct words with a letter of labelled texts which the network was not fitted
+    on.  A text in a known language, of however few words, is about as good as its
+    words; one of unknown characters, or with few letters among other signs, is
+    below.  The best of n chances is never below 1/n, where such texts lie, so the
+    limit suits any number of languages.  Without such texts or labels it is 0.
     """
-    rows = _stretches(held_out, id_col, text_col, label_col, texts, characters)
-    scores = [score for label, score in predictor(network, evidence=True)([r.part for r in rows]) if label != UNKNOWN]
-    if not scores:
+    rows = _sampled(held_out, id_col, text_col, label_col, texts)
+    words = sorted({w for r in rows for w in r.text.split() if any(c.isalpha() for c in w)})
+    if not words or not network.labels:
         return 0.0
-    lowest = 1 / len(network.labels)
-    return lowest + (float(np.quantile(scores, 0.01)) - lowest) / 8
+    found = network.evidence(words)
+    return float(np.quantile(found[:, :-1].max(axis=1) / found[:, -1], 0.0001))
 
 
 def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
-                  texts: int = TEXTS_PER_LANGUAGE, characters: int = CHARACTERS) -> Network:
-    """A network fitted on at most ``texts`` labelled texts per language, a stretch of each from a place that its hash chooses.
+                  texts: int = TEXTS_PER_LANGUAGE) -> Network:
+    """A network fitted on all words of at most ``texts`` labelled texts per language, chosen by the hash of their ids.
 
     Rows with a null label or a text without words teach nothing; without any
     other row the network knows no language.
     """
-    rows = _stretches(docs, id_col, text_col, label_col, texts, characters)
+    rows = _sampled(docs, id_col, text_col, label_col, texts)
     labels = sorted({r.label for r in rows})
-    pairs = [(w.encode("utf-8", "surrogatepass")[:PART], labels.index(r.label)) for r in rows for w in r.part.split()]
+    pairs = [(part, labels.index(r.label)) for r in rows for w in r.text.split() for part in parts_of(w)]
     network = Network(labels)
-    network.known = _known([(r.label, r.part) for r in rows])
+    network.known = _known([(r.label, r.text) for r in rows])
     return network.fit(*zip(*pairs, strict=True)) if pairs and labels else network
 
 
@@ -262,12 +269,12 @@ def with_language(docs: DataFrame, network: Network, text_col: str = "text", lab
     of each language; the score is the mean over all bytes of the text.  Null
     text, empty text and text without a letter is ``und`` with score 0, as is all
     text if the network knows no language.  With ``evidence`` words without a letter
-    and unknown characters count as equal chances of all languages.  Equal texts get equal results.  Rows
-    are neither moved nor dropped; other columns pass through; a column named like
-    a new one is refused.
+    and unknown characters count as equal chances of all languages.  Equal texts get equal results;
+    a text is read whole, however long.  Rows are neither moved nor dropped, an empty
+    table stays empty; other columns pass through, but one named like a
+    new one, in whatever case, gives way to it.
     """
-    if {label, score} & set(docs.columns):
-        raise ValueError(f"a column {label} or {score} exists")
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in {label.lower(), score.lower()}])
     at = docs.columns.index(text_col)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -167,11 +167,11 @@ def coded(docs: DataFrame, model_path: str, text_col: str = "text", ids: str = "
 
     Null and empty texts have no ids and decode to an empty text.  ``decoded``
     equals any other text, unless that holds ``▁`` itself, which decodes to a
-    space.  Rows are neither moved nor dropped; other columns pass through; a
-    column named like a new one is refused.
+    space.  Texts are read whole, however long.  Rows are neither moved nor dropped, an
+    empty table stays empty; other columns pass through, but one named
+    like a new one, in whatever case, gives way to it.
     """
-    if {ids, decoded} & set(docs.columns):
-        raise ValueError(f"a column {ids} or {decoded} exists")
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in {ids.lower(), decoded.lower()}])
     at = docs.columns.index(text_col)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

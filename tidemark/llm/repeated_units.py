@@ -14,7 +14,15 @@ from tidemark.llm.distinct_words import release
 from tidemark.llm.store import stored
 
 LEAST_WORDS = 5
-_SENTENCE_END = re.compile(r"(?<=[.!?。！？…])\s+")
+#: A unit also counts with this many characters of scripts that are written without spaces.
+LEAST_UNSPACED = 15
+_SENTENCE_END = re.compile(r"(?<=[.!?。！？…])\s+|(?<=[。！？])(?=\S)")
+_UNSPACED = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\U00020000-\U0003ffff]")
+
+
+def _counts(words: list[str], least_words: int) -> bool:
+    """Whether a unit is long enough to be compared."""
+    return len(words) >= least_words or sum(len(_UNSPACED.findall(w)) for w in words if not w.isascii()) >= LEAST_UNSPACED
 
 
 def units(text: str | None, least_words: int = LEAST_WORDS) -> Iterator[tuple[int, int, int, str]]:
@@ -22,17 +30,18 @@ def units(text: str | None, least_words: int = LEAST_WORDS) -> Iterator[tuple[in
 
     Units are the lines and their sentences, also where a line is one sentence;
     ``line`` is 1 for a line and 0 for a sentence.  The normal text is in lower case with
-    single spaces.  Units of fewer words are left out.
+    single spaces.  Units of fewer words are left out, unless they have enough characters
+    of a script without spaces; a sentence there ends with its full stop.
     """
     at = 0
     for line in (text or "").split("\n"):
         words = line.lower().split()
-        if len(words) >= least_words:
+        if _counts(words, least_words):
             yield at, at + len(line), 1, " ".join(words)
             ends = [m.span() for m in _SENTENCE_END.finditer(line)]
             for a, b in zip([0, *(e[1] for e in ends)], [*(e[0] for e in ends), len(line)], strict=True):
                 words = line[a:b].lower().split()
-                if len(words) >= least_words:
+                if _counts(words, least_words):
                     yield at + a, at + b, 0, " ".join(words)
         at += len(line) + 1
 
@@ -45,16 +54,16 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     occurrence with the least (id, text digest, offset) stays, all later ones go,
     within a document too.  A line of one sentence is compared as a line and as a
     sentence, so it meets its copy inside a longer line.  A line goes with its line
-    break; a sentence within one leaves the space around it.  Lines and sentences of fewer than five words never go.
+    break; a sentence within one leaves the space around it.  Lines and sentences of fewer
+    than five words, and of fewer than 15 characters of a script without spaces, never go.
 
     Null text stays null and empty text empty; a text whose units all go becomes
     empty, its row stays.  A null id ranks after all others.  Rows that share id
-    and text count as one document and keep the same units.  Other columns pass
-    through; a column named like ``removed`` is refused.
+    and text count as one document and keep the same units.  A text is read whole,
+    however long; an empty table stays empty.  Other columns pass through, whatever
+    their names, but one named like ``removed``, in whatever case, gives way to it.
     """
-    if spans in docs.columns:
-        raise ValueError(f"column {spans} exists")
-    keyed = docs.withColumn("__digest", F.xxhash64(text_col)).withColumn("__id", F.col(id_col))
+    docs = docs.drop(*[c for c in docs.columns if c.lower() == spans.lower()])
     names = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"), F.col(text_col).alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,13 +90,16 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     repeated = stored(found.groupBy("high", "low").agg(F.count(F.lit(1)).alias("n"), F.min(rank).alias("earliest"))
                       .where("n > 1").select("high", "low", "earliest"), "repeated")
     later = (found.join(repeated, ["high", "low"]).where(rank > F.col("earliest"))
-             .groupBy("id", "digest").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("__cut")))
-    later = stored(later, "cuts").select(F.col("id").alias("__id"), F.col("digest").alias("__digest"), "__cut", F.lit(True).alias("__some"))
-    joined = keyed.join(later, keyed["__id"].eqNullSafe(later["__id"]) & (keyed["__digest"] == later["__digest"]), "left")
-    shorter = _shorter(F.when(F.col("__some"), F.col(text_col)), F.col("__cut"))
-    return joined.select(
-        *[F.when(F.col("__some"), shorter["text"]).otherwise(F.col(text_col)).alias(c) if c == text_col else docs[c] for c in docs.columns],
-        F.when(F.col("__some"), shorter["spans"]).otherwise(F.array().cast("array<struct<first:int,last:int>>")).alias(spans))
+             .groupBy("id", "digest").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("cut")))
+    later = stored(later, "cuts")
+    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("its_id"), F.xxhash64(text_col).alias("its_digest"), F.col(text_col).alias("its_text"))
+    joined = whole.join(later, whole["its_id"].eqNullSafe(later["id"]) & (whole["its_digest"] == later["digest"]), "left")
+    shorter = _shorter(F.when(F.col("cut").isNotNull(), F.col("its_text")), F.col("cut"))
+    done = joined.select("row", "its_text", "cut", shorter.alias("shorter"))
+    return done.select(
+        *[F.when(F.col("cut").isNotNull(), F.col("shorter.text")).otherwise(F.col("its_text")).alias(c) if c == text_col else F.col("row").getField(c).alias(c)
+          for c in docs.columns],
+        F.when(F.col("cut").isNotNull(), F.col("shorter.spans")).otherwise(F.array().cast("array<struct<first:int,last:int>>")).alias(spans))
 
 
 def _shorter(text: Column, cuts: Column) -> Column:

@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.distinct_words import WordMemory
+from tidemark.llm.store import stored
 
-#: Mentions of groups; within a row any may stand for any other.
+#: Mentions of groups, in English, French, German and Spanish; within a row any may stand for any other.
 IDENTITY_TERMS = (
     ("women", "men", "girls", "boys", "mothers", "fathers"),
     ("woman", "man", "girl", "boy", "mother", "father"),
@@ -24,6 +26,24 @@ IDENTITY_TERMS = (
     ("black", "white", "asian", "latino", "african", "european"),
     ("immigrants", "refugees", "foreigners", "locals", "natives"),
     ("disabled", "deaf", "blind", "elderly", "young"),
+    ("femmes", "hommes", "filles", "garçons", "mères", "pères"),
+    ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées"),
+    ("homosexuels", "lesbiennes", "hétérosexuels", "bisexuels", "transgenres"),
+    ("noirs", "blancs", "asiatiques", "arabes", "africains", "européens"),
+    ("immigrés", "réfugiés", "étrangers", "migrants"),
+    ("handicapés", "sourds", "aveugles", "vieux", "jeunes"),
+    ("frauen", "männer", "mädchen", "jungen", "mütter", "väter"),
+    ("muslime", "christen", "juden", "hinduisten", "buddhisten", "atheisten"),
+    ("schwule", "lesben", "heterosexuelle", "bisexuelle", "transsexuelle"),
+    ("schwarze", "weiße", "asiaten", "araber", "afrikaner", "europäer"),
+    ("einwanderer", "flüchtlinge", "ausländer", "einheimische"),
+    ("behinderte", "gehörlose", "blinde", "alte", "junge"),
+    ("mujeres", "hombres", "niñas", "niños", "madres", "padres"),
+    ("musulmanes", "cristianos", "judíos", "hinduistas", "budistas", "ateos"),
+    ("homosexuales", "lesbianas", "heterosexuales", "bisexuales", "transexuales"),
+    ("negros", "blancos", "asiáticos", "árabes", "africanos", "europeos"),
+    ("inmigrantes", "refugiados", "extranjeros", "lugareños"),
+    ("discapacitados", "sordos", "ciegos", "mayores", "jóvenes"),
 )
 #: The most labelled texts of either class that the classifier is fitted on.
 TEXTS_PER_CLASS = 2500
@@ -42,14 +62,17 @@ def words_of(text: str | None) -> set[str]:
     return set(_WORD.findall((text or "").lower()))
 
 
-def swapped(text: str, lot: int) -> str | None:
+Terms = Sequence[Sequence[str]]
+
+
+def swapped(text: str, lot: int, terms: Terms = IDENTITY_TERMS) -> str | None:
     """The text with every identity term replaced by another one of its row; None if it has none."""
     found = False
 
     def other(match: re.Match) -> str:
         nonlocal found
         word = match.group().lower()
-        for row in IDENTITY_TERMS:
+        for row in terms:
             if word in row:
                 found = True
                 return row[(row.index(word) + 1 + lot % (len(row) - 1)) % len(row)]
@@ -59,31 +82,48 @@ def swapped(text: str, lot: int) -> str | None:
     return changed if found else None
 
 
+def counterfactual(text: str, lot: int, terms: Terms = IDENTITY_TERMS) -> tuple[str, str]:
+    """Two forms of a text that differ in the groups they name and should score alike.
+
+    The text and its swapped form if it names a group, else the text with a mention
+    of one group and with one of another group of the same row, which ``lot`` chooses.
+    """
+    other = swapped(text, lot, terms)
+    if other is not None:
+        return text, other
+    row = terms[lot % len(terms)]
+    one = lot // len(terms) % len(row)
+    two = (one + 1 + lot // len(terms) // len(row) % (len(row) - 1)) % len(row)
+    return f"{text}\n{row[one]}", f"{text}\n{row[two]}"
+
+
 class Classifier:
     """Logistic regression on the presence of features: sparse weights, and equal scores for swapped texts.
 
-    The loss is the mean log-loss, plus ``sparse`` times the sum of absolute
-    weights, plus ``fair`` times the mean squared difference of logits between a
-    text and its swapped form.
+    The loss is the (weighted) mean log-loss, plus ``sparse`` times the sum of absolute
+    weights, plus ``fair`` times the mean squared difference of logits between the two
+    forms of a text.
     """
 
-    def __init__(self, fair: float = 1.0, sparse: float = 2e-4, steps: int = 300) -> None:
+    def __init__(self, fair: float = 30.0, sparse: float = 2e-4, steps: int = 300) -> None:
         self.fair, self.sparse, self.steps = fair, sparse, steps
         self.weights, self.bias = np.zeros(2**BITS), 0.0
 
-    def fit(self, texts: Sequence[np.ndarray], labels: Sequence[int], pairs: Sequence[tuple[np.ndarray, np.ndarray]] = ()) -> Classifier:
-        """Accelerated proximal steps over all texts; ``pairs`` holds the features of texts and of their swapped forms."""
+    def fit(self, texts: Sequence[np.ndarray], labels: Sequence[int], pairs: Sequence[tuple[np.ndarray, np.ndarray]] = (),
+            shares: Sequence[float] | None = None) -> Classifier:
+        """Accelerated proximal steps over all texts; ``pairs`` holds the features of two forms of a text, ``shares`` what each text counts."""
         y = np.asarray(labels, np.float64)
         if not len(y) or y.min() == y.max():
             self.bias = 0.0 if not len(y) else float(np.log((y.mean() + 0.01) / (1.01 - y.mean())))
             return self
+        share = np.full(len(y), 1 / len(y)) if shares is None else np.asarray(shares, np.float64) / np.sum(shares)
         x = _Rows(texts)
         more = [(np.setdiff1d(a, b), np.setdiff1d(b, a)) for a, b in pairs]
         lost, gained = _Rows([m[0] for m in more]), _Rows([m[1] for m in more])
         w, bias, ahead, bias_ahead, pace = self.weights, 0.0, self.weights.copy(), 0.0, 1.0
-        step = 4.0 / (1 + x.spread() + 16 * self.fair * (lost.spread() + gained.spread()))
+        step = 4.0 / (1 + x.spread(share) + 16 * self.fair * (lost.spread() + gained.spread()))
         for _ in range(self.steps):
-            slope_of = (1 / (1 + np.exp(-(x.dot(ahead) + bias_ahead))) - y) / len(y)
+            slope_of = (1 / (1 + np.exp(-(x.dot(ahead) + bias_ahead))) - y) * share
             slope = x.back(slope_of)
             if more:
                 gap = 2 * self.fair * (lost.dot(ahead) - gained.dot(ahead)) / len(more)
@@ -130,47 +170,60 @@ class _Rows:
     def back(self, slopes: np.ndarray) -> np.ndarray:
         return np.bincount(self.at, slopes[self.row], 2**BITS)
 
-    def spread(self) -> float:
-        """The greatest mean squared logit of a unit weight vector, by power iteration."""
+    def spread(self, share: np.ndarray | None = None) -> float:
+        """The greatest (weighted) mean squared logit of a unit weight vector, by power iteration."""
         v, size = np.ones(2**BITS), 0.0
         for _ in range(12 if self.n else 0):
-            v = self.back(self.dot(v)) / self.n
+            v = self.back(self.dot(v) * (1 / self.n if share is None else share))
             size = float(np.linalg.norm(v))
             v /= size or 1.0
         return size
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-                 texts: int = TEXTS_PER_CLASS, fair: float = 1.0) -> Classifier:
+                 texts: int = TEXTS_PER_CLASS, fair: float = 30.0, terms: Terms = IDENTITY_TERMS) -> Classifier:
     """A classifier fitted on at most ``texts`` labelled texts of either class, chosen by the hash of their ids.
 
+    Each text has a counterfactual pair: itself and its swapped form where it names
+    a group, else itself with the mention of one and of another group.  The first
+    form is learned from, too, and the difference of the two scores is penalised.  Classes
+    count as often as there are labelled texts of them, however many were chosen,
+    so scores mean the same at every size of the table.
+
     Rows with a null label, other labels than 0 and 1, null ids and labels without
     a document teach nothing.  Features seen in fewer than three of the texts are
-    left out.  Without texts of both classes the score is a constant.
+    left out, but for those of mentions.  Without texts of both classes the score is a constant.
     """
     named = (labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
              .groupBy("id").agg(F.max("label").alias("label")))
     owners = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id")).distinct()
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id", F.lit(11)), "id")
-    chosen = named.join(owners, "id", "left_semi").withColumn("place", F.row_number().over(order)).where(F.col("place") <= texts)
-    by_id = {r.id: r.label for r in chosen.collect()}              # at most ``texts`` of either class
+    labelled = stored(named.join(owners, "id", "left_semi"), "labelled")
+    all_ = dict(labelled.groupBy("label").count().collect())
+    by_id = {r.id: r.label for label in all_
+             for r in labelled.where(F.col("label") == label).orderBy(F.xxhash64("id", F.lit(11)), "id").limit(texts).collect()}   # at most ``texts`` each
     whole = (docs.where(F.col(id_col).isin(list(by_id))).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")) if by_id
              else docs.where(F.lit(False)).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts_ = [t or "" for t in batch.column(1).to_pylist()]
-            other = [swapped(t, len(t)) for t in texts_]
+            both = [counterfactual(t, xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")), terms) for t in texts_]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([_packed(t) for t in texts_], pa.binary()),
-                 pa.array([None if t is None else _packed(t) for t in other], pa.binary())], ["id", "own", "other"])
+                [batch.column(0), *[pa.array([_packed(t) for t in some], pa.binary()) for some in (texts_, [a for a, _ in both], [b for _, b in both])]],
+                ["id", "own", "one", "two"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = sorted(whole.mapInArrow(extract, f"id {kind}, own binary, other binary").collect(), key=lambda r: (r.id, r.own))
-    own = [np.frombuffer(r.own, "<i4") for r in rows]
+    rows = sorted(whole.mapInArrow(extract, f"id {kind}, own binary, one binary, two binary").collect(), key=lambda r: (r.id, r.own))
+    own, one, two = ([np.frombuffer(r[k], "<i4") for r in rows] for k in ("own", "one", "two"))
     seen = np.bincount(np.concatenate([*own, np.empty(0, np.int32)]).astype(np.int64), minlength=2**BITS) >= 3
-    other = [(o, np.frombuffer(r.other, "<i4")) for o, r in zip(own, rows, strict=True) if r.other is not None]
-    return Classifier(fair).fit([o[seen[o]] for o in own], [by_id[r.id] for r in rows], other)
+    seen[[f for row in terms for w in row for f in features_of(w)]] = True
+    label = [by_id[r.id] for r in rows]
+    chosen = Counter(label)
+    share = [all_[k] / chosen[k] for k in label]
+    mentions = [k for k in range(len(rows)) if rows[k]["one"] != rows[k]["own"]]
+    learned = [*own, *[one[k] for k in mentions]]
+    return Classifier(fair).fit([o[seen[o]] for o in learned], [*label, *[label[k] for k in mentions]],
+                                [(a[seen[a]], b[seen[b]]) for a, b in zip(one, two, strict=True)], [*share, *[share[k] for k in mentions]])
 
 
 def _packed(text: str) -> bytes:
@@ -193,12 +246,12 @@ def with_toxicity(docs: DataFrame, classifier: Classifier, text_col: str = "text
     """``docs`` with a score (0 to 1) of the whole text.
 
     The score depends on which words occur, not on how often or where.  Null,
-    empty and wordless texts get the score of a text without features.  Rows are
-    neither moved nor dropped; other columns pass through; a column named like
-    the new one is refused.
+    empty and wordless texts get the score of a text without features; a text is
+    read whole, however long.  Rows are neither moved nor dropped, an empty table stays
+    empty; other columns pass through, but one named like the new one, in
+    whatever case, gives way to it.
     """
-    if score in docs.columns:
-        raise ValueError(f"column {score} exists")
+    docs = docs.drop(*[c for c in docs.columns if c.lower() == score.lower()])
     at = docs.columns.index(text_col)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
