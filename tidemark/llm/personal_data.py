@@ -301,11 +301,21 @@ def _apart(found: list[tuple[int, int, str, float]]) -> list[tuple[int, int, str
     return sorted(kept, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
+#: Last labels of host names in rewritten examples.
+ENDS = ("com", "org", "net", "edu", "de", "fr", "es", "info", "io", "eu")
+
+
+def _word(lot: random.Random) -> str:
+    return "".join(lot.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(lot.randrange(2, 10)))
+
+
 def _other_spelling(kind: str, body: str, lot: random.Random) -> str:
-    """The same data in a spelling that the rules do not take."""
+    """The same kind of data in a spelling that the rules do not take."""
     if kind == "email":
         at, dot = lot.choice(((" (at) ", "."), ("[at]", "[dot]"), (" at ", " dot "), ("(at)", "(dot)"), (" @ ", "."), (" [at] ", " [dot] ")))
-        return body.replace("@", at).replace(".", dot)
+        name, host = body.rsplit("@", 1) if lot.random() < 0.4 else (_word(lot) + lot.choice(("", f".{_word(lot)}", f"{lot.randrange(1000)}", f"_{_word(lot)}")),
+                                                                     ".".join([*(_word(lot) for _ in range(lot.randrange(1, 3))), lot.choice(ENDS)]))
+        return name + at + host.replace(".", dot)
     if kind == "ip":
         return body.replace(".", lot.choice(("[.]", "(.)", " . ", " dot ", ",")) if lot.random() < 0.8 else ".", lot.choice((-1, 3)))
     digits = re.sub("[^0-9]", "", body)
@@ -321,7 +331,7 @@ def _look_alike(kind: str, body: str, lot: random.Random) -> str:
     """Something of a similar form that is no personal data."""
     digits = re.sub("[^0-9]", "", body) or "1234567"
     if kind == "email":
-        words = re.findall("[A-Za-z]+", body)[:3] or ["a", "b"]
+        words = [_word(lot) for _ in range(3)] if lot.random() < 0.5 else re.findall("[A-Za-z]+", body)[:3] or ["a", "b"]
         return lot.choice(("{} at {}. {}", "{} at {}", "{} @ {}", "@{} {} {}")).format(*(words * 3)[:3])
     if kind == "ip":
         parts = [str(lot.choice((256, 300, 512, 777, 999)) if lot.random() < 0.5 else lot.randrange(1000)) for _ in range(4)]
