@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from llm_cases import by_id, docs_of, folder  # noqa: F401
 from tidemark.llm import chat
-from tidemark.llm.decontaminate import Benchmark, contaminated, hits
+from tidemark.llm.decontaminate import BITS, Benchmark, contaminated, hits
 from tidemark.llm.pieces import Codec, coded, viterbi
 from tidemark.llm.queries import tokenizer_file
 from tidemark.llm.sharding import jump, sharded
@@ -150,6 +151,20 @@ def test_decontamination_in_passes(docs_of, spark, monkeypatch):
     assert sorted(contaminated(docs_of(docs).withColumn("Found", F.lit(1)), table).select("doc_id", "found").collect()) == sorted(once)
 
 
+def test_tables_of_much_benchmark_text_are_bounded():
+    """A pass of items in one process: tables of a few bytes for each byte of text."""
+    rng = np.random.default_rng(3)
+    words = [f"w{k}" for k in range(20_000)]
+    items = [(str(k), " ".join(words[i] for i in rng.integers(0, len(words), 200))) for k in range(1500)]
+    size = sum(len(t) for _, t in items)
+    tracemalloc.start()
+    bench = Benchmark(items)
+    held, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert size > 1_500_000 and held - 2**BITS * 8 < 20 * size and most < 150 * size
+    assert bench.scan(f"x {items[7][1]} y")[2] == ["7"]
+
+
 def test_shifts_skip():
     searcher = Benchmark([(k, " ".join(f"word{k}x{i}" for i in range(12))) for k in range(20)]).searchers[-1]
     assert searcher.shift.mean() > 0.9 * (searcher.least - searcher.block + 1)
