@@ -210,6 +210,14 @@ def test_layouts(spark):
     assert [(r.role, r.text) for r in chat.table_turns(nested, "id").orderBy("turn").collect()] == [("user", "q"), ("assistant", "a")]
     with pytest.raises(ValueError):
         chat.table_turns(spark.range(1).withColumn("other", F.lit(1)), "id")
+    rows = spark.createDataFrame([(1, 0, "user", "q"), (1, 1, None, None)], "id long, turn long, role string, text string")
+    for extra in ([], ["prompt"], ["messages", "system"], ["instruction", "input", "Turn_"]):
+        more = rows.select("*", *[F.lit("x").alias(c) for c in extra])
+        assert sorted((r.turn, r.role, r.text) for r in chat.table_turns(more, "id").collect()) == [(0, "user", "q"), (1, "", "")]
+    asked = spark.createDataFrame([(1, "i", "more", "o", "p")], "id long, instruction string, input string, output string, prompt string")
+    assert [(r.role, r.text) for r in chat.table_turns(asked, "id").orderBy("turn").collect()] == [("user", "i"), ("user", "more"), ("assistant", "o")]
+    as_rows = spark.createDataFrame([(1, '{"turn": 3, "role": "user", "text": null}')], "id long, document string")
+    assert [(r.role, r.text) for r in chat.document_turns(as_rows, "id").collect()] == [("user", "")]
 
 
 def slow_best(pieces, word):

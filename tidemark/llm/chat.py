@@ -21,22 +21,31 @@ ESCAPES = (("\\", "\\b"), ("###", "\\h"), ("</turn>", "\\t"), (":\n", "\\c"))
 
 @dataclass(frozen=True)
 class Mapping:
-    """How one layout becomes turns: a list with the names of role and text, or single fields with the role of each."""
+    """How one layout becomes turns: a list with the names of role and text, single fields with the role of each, or a
+    row per turn with the names of its number, role and text."""
 
     name: str
     turns: str | None = None
     role: str = "role"
     text: str = "content"
     fields: tuple[tuple[str, str], ...] = ()
+    number: str | None = None
+
+    def names(self) -> set[str]:
+        """Fields of the top level."""
+        return {self.number, self.role, self.text} if self.number else {self.turns} if self.turns else {f for _, f in self.fields}
 
     def paths(self) -> str:
         """The layout's nested field paths, as :func:`paths_of` states them."""
+        if self.number:
+            return f"OBJECT<{', '.join(sorted(self.names()))}>"
         if self.turns:
             return f"OBJECT<{self.turns}: ARRAY<OBJECT<{', '.join(sorted((self.role, self.text)))}>>>"
         return f"OBJECT<{', '.join(sorted(field for _, field in self.fields))}>"
 
 
 MAPPINGS = (
+    Mapping("rows", number="turn", text="text"),
     Mapping("messages", turns="messages"),
     Mapping("from_value", turns="conversations", role="from", text="value"),
     Mapping("prompt_completion", fields=(("user", "prompt"), ("assistant", "completion"))),
@@ -77,6 +86,9 @@ def turns_of(documents: DataFrame, column: str = "document", mappings: Sequence[
 
 
 def _mapped(document: Column, m: Mapping) -> Column:
+    if m.number:
+        parsed = F.from_json(document, f"`{m.role}` string, `{m.text}` string")
+        return F.array(_turn(parsed[m.role], parsed[m.text])).cast(TURNS)
     if m.turns:
         return _listed(F.from_json(document, f"`{m.turns}` array<struct<`{m.role}`:string,`{m.text}`:string>>")[m.turns], m)
     parsed = F.from_json(document, ",".join(f"`{field}` string" for _, field in m.fields))
@@ -119,29 +131,30 @@ def unescaped(text: Column) -> Column:
 def table_turns(table: DataFrame, key: str, mappings: Sequence[Mapping] = MAPPINGS) -> DataFrame:
     """``(conversation, turn, role, text)`` from a table of any known layout, with a row per turn or per conversation.
 
-    The fingerprint of the schema's nested paths selects the mapping; ``key`` and
-    columns that no mapping knows, or of other shape than it knows, do not count.
-    A table of unknown layout is refused.  Null role and text are empty.
+    Fingerprints of the schema's nested paths select the mapping: that of the columns
+    which a mapping names has to be the mapping's own.  Where several layouts are
+    there, the one of most columns counts, then the first; ``key`` and all other
+    columns do not count, whatever their names.  A table of unknown layout is
+    refused.  Null role and text are empty; an empty table gives no turns.
     """
-    known = {ROWS_PATHS: None} | {m.paths(): m for m in mappings}
-    names = {"turn", "role", "text"} | {m.turns for m in mappings if m.turns} | {f for m in mappings for _, f in m.fields}
-    used = T.StructType([f for f in table.schema.fields if f.name in names and f.name != key])
-    by_mark = {sha256(paths.encode()).hexdigest(): m for paths, m in known.items()}
-    mark = sha256(schema_paths(used).encode()).hexdigest()
-    if mark not in by_mark:
-        raise ValueError(f"no mapping for {schema_paths(used)}")
-    m = by_mark[mark]
-    if m is None:
-        return table.select(F.col(key).alias("conversation"), F.col("turn").cast("long").alias("turn"),
-                            F.coalesce(F.col("role"), F.lit("")).alias("role"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    def mark(paths: str) -> str:
+        return sha256(paths.encode()).hexdigest()
+
+    def there(m: Mapping) -> bool:
+        used = T.StructType([f for f in table.schema.fields if f.name in m.names() and f.name != key])
+        return mark(schema_paths(used)) == mark(m.paths())
+
+    known = sorted(filter(there, mappings), key=lambda m: -len(m.names()))
+    if not known:
+        raise ValueError(f"no mapping for {schema_paths(table.schema)}")
+    m = known[0]
+    if m.number:
+        found = table.select(F.col(key).alias("conversation"), F.col(m.number).cast("long").alias("turn"), _turn(F.col(m.role), F.col(m.text)).alias("t"))
+        return found.select("conversation", "turn", "t.role", "t.text")
     turns = _listed(F.col(m.turns), m) if m.turns else _single({f: F.col(f).cast("string") for _, f in m.fields}, m)
     return _numbered(table.select(F.col(key).alias("conversation"), turns.alias("turns")))
 
 
-#: The layout with a row per turn.
-ROWS_PATHS = "OBJECT<role, text, turn>"
-
-
 def schema_paths(kind: T.DataType) -> str:
     """The nested field paths of a Spark schema, stated as :func:`paths_of` states those of a JSON value."""
     if isinstance(kind, T.StructType):
