@@ -1,7 +1,8 @@
 """Seconds per headline query; prints one JSON line.
 
 ``refresh`` is the whole pipeline on every row of the feeds derived from the
-test tables: land, clean, check, model, publish.  The queries after it read
+test tables: land, manifest, clean, check, model, test, publish, logs.  ``second_refresh`` is
+the same after one release was delivered again.  The queries after it read
 stored input, the way they would after a refresh.
 """
 
@@ -19,9 +20,10 @@ from bindings.registry import ENTRIES  # noqa: E402
 from bindings.tables import chain  # noqa: E402
 
 import bindings.all_queries  # noqa: E402, F401
-from tidemark.plans import silver  # noqa: E402
-from tidemark.plans.refresh import Lake, build_gold  # noqa: E402
-from tidemark.session import get_session, shared_folder, together  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from tidemark.plans import refresh as job  # noqa: E402
+from tidemark.session import get_session, shared_folder  # noqa: E402
 from tidemark.sources import lake  # noqa: E402
 from tidemark.sources.feeds import FEEDS  # noqa: E402
 
@@ -42,15 +44,26 @@ def run(df) -> None:
 
 
 def whole_pipeline(spark, sf_dir: str) -> dict[str, float]:
-    folders, c = Lake(f"{shared_folder(spark)}/bench-{uuid.uuid4().hex}"), chain(spark, sf_dir)
-    spent = {}
-
-    def land():
-        together(spark, *[lambda n=n: lake.write_partitions(c.bronze(n), f"{folders.bronze}/{n}", ["release_date"]) for n in FEEDS])
-
-    spent["land"] = timed(land)
-    spent["silver"] = timed(lambda: silver.refresh_silver(spark, folders.bronze, folders.silver, folders.quarantine))
-    spent["gold"] = timed(lambda: build_gold(spark, folders, "v1"))
+    """Seconds to land all feeds, for a first refresh, and for one after a single release was delivered again."""
+    folders, c = job.Lake(f"{shared_folder(spark)}/bench-{uuid.uuid4().hex}"), chain(spark, sf_dir)
+    spent, moment = {}, job.now().isoformat()
+    days = {n: sorted(r[0] for r in c.bronze(n).select("release_date").distinct().collect()) for n in FEEDS}   # one row per release
+
+    def land(n, rows, releases):
+        lake.write_partitions(rows, f"{folders.bronze}/{n}", ["release_date"])
+        job.note_landed(spark, folders, n, releases, sorted(set(rows.columns) - {"release_date", "_ingested_at"}), "bench", moment)
+
+    def refresh():
+        return job.refresh(spark, folders.root, as_of="2001-06-30", blocking=False)     # the feeds carry faults on purpose
+
+    spent["land"] = timed(lambda: [land(n, c.bronze(n), days[n]) for n in FEEDS])
+    spent["refresh"] = timed(refresh)
+    tasks = spark.read.parquet(f"{folders.ops}/task_runs")
+    spent |= {f"of which {r.task}": r.duration_s for r in tasks.collect()}               # one row per step
+    newest = days["complications_deaths"][-1]
+    land("complications_deaths", c.bronze("complications_deaths").where(F.col("release_date") == newest)
+         .withColumn("footnote", F.lit("corrected")), [newest])
+    spent["second refresh"] = timed(refresh)
     return spent
 
 
@@ -64,7 +77,7 @@ def main() -> None:
     c = chain(spark, sf_dir)
     rows = sum(c.bronze(name).count() for name in FEEDS)
     stages = whole_pipeline(spark, sf_dir)
-    seconds = {"refresh": round(sum(stages.values()), 3)}
+    seconds = {"refresh": round(stages["land"] + stages["refresh"], 3), "second_refresh": stages["second refresh"]}
     for name in ("hospitals", "measure_scores", "hcahps", "facts", "history", "dim", "measures", "experience", "scorecard"):
         getattr(c, name)
     for name in HEADLINE:

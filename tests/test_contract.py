@@ -12,6 +12,18 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not mounted")
 
 
+@pytest.fixture(scope="module", autouse=True)
+def compiled(spark):
+    """The plans run as in production: with generated code."""
+    names = {"spark.sql.codegen.wholeStage": "true", "spark.sql.codegen.factoryMode": "FALLBACK"}
+    before = {n: spark.conf.get(n) for n in names}
+    for n, value in names.items():
+        spark.conf.set(n, value)
+    yield
+    for n, value in before.items():
+        spark.conf.set(n, value)
+
+
 @pytest.fixture(scope="module")
 def con():
     return duck(SF)

@@ -86,12 +86,17 @@ def land(spark: SparkSession, folders: Lake, dataset: str, release: str, rows: D
                 return False
     moment = now().isoformat()
     path = landing.land_release(landing.to_bronze(rows, run_id, release, source, moment), folders.bronze, dataset, release)
-    landed = lake.read_releases(spark, path, [release])
-    delivered = landed.select("release_date", *sorted(rows.columns), *landing.AUDIT_COLUMNS)
-    oplog.append(landing.manifest_entry(delivered, run_id, dataset, path, moment), folders.ops, "ingest_manifest")
+    note_landed(spark, folders, dataset, [release], sorted(rows.columns), run_id, moment)
     return True
 
 
+def note_landed(spark: SparkSession, folders: Lake, dataset: str, releases: list[str], columns: list[str], run_id: str, moment: str) -> None:
+    """Count and sum up releases as they lie in bronze, and note them in the manifest."""
+    path = f"{folders.bronze}/{dataset}"
+    delivered = lake.read_releases(spark, path, releases).select("release_date", *columns)
+    oplog.append(landing.manifest_entry(delivered, run_id, dataset, path, moment), folders.ops, "ingest_manifest")
+
+
 def silver_tables(spark: SparkSession, folders: Lake) -> dict[str, DataFrame]:
     return {name: lake.read_table(spark, f"{folders.silver}/{name}") for name in ("hospitals", "measure_scores", "hcahps")}
 
@@ -125,11 +130,11 @@ class Origins:
 MEASURE_FEEDS = tuple(f.name for f in FEEDS.values() if f.table == "measure_scores")
 
 
-def build_gold(spark: SparkSession, folders: Lake, version: str, full_refresh: bool = False, test: bool = True) -> versions.Version:
+def build_gold(spark: SparkSession, folders: Lake, version: str, full_refresh: bool = False, blocking: bool = True) -> versions.Version:
     """Write what is stale of all marts under ``version``, test them and publish; returns the published entry.
 
     Every mart reads the stored form of the marts it builds on.  When a model test
-    ends with an error nothing is published.
+    ends with an error nothing is published, unless tests are not ``blocking``.
     """
     tables, origins = silver_tables(spark, folders), Origins.read(spark, folders)
     regions, catalog = state_regions(spark), measure_catalog(spark)
@@ -185,12 +190,12 @@ def build_gold(spark: SparkSession, folders: Lake, version: str, full_refresh: b
         out.put("mart_measure_benchmarks", gold.named_benchmarks(numbers, measures))
 
     together(spark, scorecard, benchmarks)
-    if test:
-        models = {name: out.table(name) for name in out.now.schemas} | {
-            "stg_hospitals": hospitals, "stg_measure_scores": scores, "stg_survey": survey_rows,
-            "state_regions": regions, "measure_catalog": catalog}
-        results = model_tests.run_model_tests(spark, models)
-        oplog.append(results.select(F.lit(version).alias("run_id"), F.lit(now()).alias("checked_at"), "*"), folders.ops, "model_tests")
+    models = {name: out.table(name) for name in out.now.schemas} | {
+        "stg_hospitals": hospitals, "stg_measure_scores": scores, "stg_survey": survey_rows,
+        "state_regions": regions, "measure_catalog": catalog}
+    results = model_tests.run_model_tests(spark, models)
+    oplog.append(results.select(F.lit(version).alias("run_id"), F.lit(now()).alias("checked_at"), "*"), folders.ops, "model_tests")
+    if blocking:
         model_tests.enforce(results)
     return out.commit()
 
@@ -252,11 +257,12 @@ def close_dead_runs(spark: SparkSession, folders: Lake) -> None:
 
 
 def refresh(spark: SparkSession, root: str, as_of: str, source: str = "files", trigger: str = "manual",
-            full_refresh: bool = False) -> str:
+            full_refresh: bool = False, blocking: bool = True) -> str:
     """Bring silver, gold and the snapshot up to date with the landed bronze.
 
-    Runs that were left open long ago are closed first.  The logs are published
-    after every run, also after one that failed.
+    Runs that were left open long ago are closed first.  Failed checks and model
+    tests stop the run; if they are not ``blocking`` they are only noted.  The logs
+    are published after every run, also after one that failed.
     """
     folders, run_id = Lake(root), new_run_id()
     close_dead_runs(spark, folders)
@@ -286,11 +292,12 @@ def refresh(spark: SparkSession, root: str, as_of: str, source: str = "files", t
         log = f"{folders.ops}/dq_results"
         oplog.append(oplog.check_events(results, run_id, F.lit(now())), folders.ops, "dq_results")
         stored = spark.read.parquet(log).where(F.col("run_id") == run_id)
-        gate.enforce(stored)
+        if blocking:
+            gate.enforce(stored)
         return stored.count(), {}
 
     def publish():
-        entry = build_gold(spark, folders, run_id, full_refresh)
+        entry = build_gold(spark, folders, run_id, full_refresh, blocking)
         return sum(entry.rows.values()), {"published": entry.rows}
 
     try:
