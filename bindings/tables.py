@@ -50,6 +50,11 @@ class Chain:
         """A new folder for a query that writes."""
         return f"{self.folder}/scratch/{name}-{uuid.uuid4().hex[:8]}"
 
+    def newest(self, name: str) -> str:
+        """The newest release of a stored table, by folder names."""
+        getattr(self, name)
+        return max(f["release_date"] for f in lake.partition_folders(self.spark, f"{self.folder}/{name}"))
+
     def _stored(self, name: str, build: Callable[[], DataFrame], by_release: bool = False) -> DataFrame:
         path, table = f"{self.folder}/{name}", build()
         if by_release:

@@ -108,9 +108,10 @@ def default_hospital(found: DataFrame) -> DataFrame:
     return found.orderBy(full.desc(), *best_first()).limit(1)
 
 
-def hospital_measures(facts: DataFrame, measures: DataFrame, facility_id: str) -> DataFrame:
+def hospital_measures(facts: DataFrame, measures: DataFrame, facility_id: str, newest: str | None = None) -> DataFrame:
+    """One hospital's newest results; where the newest release is known, say from the version's entry, only its folder is opened."""
     named = measures.select("measure_id", "measure_short_name", "unit")
-    mine = (latest_slice(facts)
+    mine = (latest_slice(facts, newest=newest)
             .where((F.col("facility_id") == facility_id) & F.col("performance_percentile").isNotNull()))
     return (mine.join(named, "measure_id")
                 .select("measure_id", "measure_short_name", "domain", "comparison_category", "score", "lower_estimate",
@@ -121,9 +122,9 @@ def hospital_measures(facts: DataFrame, measures: DataFrame, facility_id: str) -
 SHOWN_STARS = [name for name in fv.STAR_ITEMS if name != "summary_star"]
 
 
-def hospital_survey(experience: DataFrame, facility_id: str) -> DataFrame:
+def hospital_survey(experience: DataFrame, facility_id: str, newest: str | None = None) -> DataFrame:
     """The newest survey of one hospital; ``has_results`` is false when all nine stars are absent."""
-    return (latest_slice(experience).where(F.col("facility_id") == facility_id)
+    return (latest_slice(experience, newest=newest).where(F.col("facility_id") == facility_id)
             .withColumn("has_results", F.coalesce(*SHOWN_STARS).isNotNull()))
 
 
@@ -134,8 +135,8 @@ def hospital_history(history: DataFrame, facility_id: str) -> DataFrame:
 
 
 # --- benchmarks -----------------------------------------------------------------------
-def latest_benchmarks(benchmarks: DataFrame) -> DataFrame:
-    return latest_slice(benchmarks).orderBy("domain", "measure_short_name", "measure_id")
+def latest_benchmarks(benchmarks: DataFrame, newest: str | None = None) -> DataFrame:
+    return latest_slice(benchmarks, newest=newest).orderBy("domain", "measure_short_name", "measure_id")
 
 
 def _with_state(facts: DataFrame, dim: DataFrame) -> DataFrame:
@@ -149,10 +150,10 @@ def reporting_states(facts: DataFrame, dim: DataFrame, measure_id: str | None =
     return _with_state(pairs, dim).select("measure_id", "state").distinct().orderBy("measure_id", "state")
 
 
-def current_scores(facts: DataFrame, dim: DataFrame, measure_id: str | None = None) -> DataFrame:
+def current_scores(facts: DataFrame, dim: DataFrame, measure_id: str | None = None, newest: str | None = None) -> DataFrame:
     """Newest scores of hospitals that are still in the dimension."""
     facts = facts if measure_id is None else facts.where(F.col("measure_id") == measure_id)
-    scored = latest_slice(facts).where(F.col("score").isNotNull())
+    scored = latest_slice(facts, newest=newest).where(F.col("score").isNotNull())
     return _with_state(scored.select("facility_id", "measure_id", "score", "comparison_category"), dim)
 
 
