@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -166,6 +167,12 @@ def land_all(spark, root, release, ratings, force=False):
             for name, rows in feeds.items()]
 
 
+def written(folders, table, version):
+    """Folders with data files that a version wrote for a table."""
+    top = f"{folders.marts}/data/{table}/written={version}"
+    return sorted(os.path.relpath(d, top) for d, _, names in os.walk(top) if any(n.endswith(".parquet") for n in names))
+
+
 def test_two_releases_end_to_end(spark, tmp_path):
     root, folders = str(tmp_path), job.Lake(str(tmp_path))
     assert land_all(spark, root, FIRST, ["3"] * 8) == [True] * 4
@@ -183,7 +190,16 @@ def test_two_releases_end_to_end(spark, tmp_path):
     assert sorted((r.facility_id, r.rating_change) for r in tables["mart_rating_changes"].collect()) == [("050000", 1), ("050001", -1)]
     assert spark.sql("select count(*) from mart_state_summary where state = 'CA'").first()[0] == 1
 
-    third = job.refresh(spark, root, as_of="2026-08-01")     # nothing new
+    for table in ("fct_measure_scores", "score_counts", "fct_patient_experience", "benchmark_numbers"):
+        assert written(folders, table, first) == [f"release_date={FIRST}"] and written(folders, table, second) == [f"release_date={SECOND}"]
+    entry = versions.read_version(spark, folders.marts)
+    assert entry.version == second and entry.releases("fct_measure_scores") == [FIRST, SECOND] and entry.rows["fct_measure_scores"] == 96
+
+    third = job.refresh(spark, root, as_of="2026-08-01")     # nothing new: all releases are pointed to
+    assert written(folders, "fct_measure_scores", third) == []
+    assert versions.read_version(spark, folders.marts).of("fct_measure_scores") == entry.of("fct_measure_scores")
+    gone = versions.unreferenced(spark, folders.marts, [second, third])
+    assert gone and not any(p.folder in gone for p in entry.parts) and not any("fct_measure_scores" in g for g in gone)
     with pytest.raises(ValueError, match="is published"):     # a published version is not written again
         versions.Snapshot(spark, folders.marts, first)
     again = versions.open_snapshot(spark, folders.marts)
