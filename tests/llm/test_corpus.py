@@ -87,3 +87,15 @@ def test_stages_of_no_documents(stages, spark):
     for name, stage in pipeline.STAGES:
         docs = stored(stage(spark, docs, SF), f"none-{name}")
         assert docs.count() == 0
+
+
+def test_tables_of_a_stage_go_after_it(spark, folder, monkeypatch):  # noqa: F811
+    """A run leaves the last stage's table only."""
+    def twice(spark_, docs, _):
+        return stored(docs.where("doc_id % 2 = 0"), "on the way").limit(50)
+
+    monkeypatch.setattr(pipeline, "STAGES", [("one", twice), ("two", twice)])
+    top = f"{folder}/llm/{spark.sparkContext.applicationId}"
+    before = set(os.listdir(top)) if os.path.isdir(top) else set()
+    out = pipeline.run(spark, SF)
+    assert out.count() == 50 and len(set(os.listdir(top)) - before) == 1
