@@ -242,10 +242,13 @@ def publish_ops(spark: SparkSession, folders: Lake, version: str) -> versions.Ve
     """The logs as one published version: runs and landed releases in their current state, the others as they are."""
     reduced = {"ingest_manifest": landing.current_manifest, "pipeline_runs": oplog.run_states}
     out = versions.Snapshot(spark, folders.published_ops, version)
-    for name in OPS_TABLES:
+
+    def put(name: str) -> None:
         log = oplog.read_log_or_none(spark, folders.ops, name)
         if log is not None:
-            out.put(name, reduced.get(name, lambda df: df)(log))
+            out.put(name, reduced.get(name, lambda df: df)(log).coalesce(1))     # logs are small: a row per run, step, release or check
+
+    together(spark, *[lambda name=name: put(name) for name in OPS_TABLES])
     return out.commit()
 
 
