@@ -156,13 +156,12 @@ def _symbols(words: Sequence[bytes]) -> np.ndarray:
 
 def _sampled(docs: DataFrame, id_col: str, text_col: str, label_col: str, texts: int) -> list[Row]:
     """``(label, text)`` of at most ``texts`` labelled texts per language, chosen by the hash of their ids."""
-    order = Window.partitionBy("label").orderBy("lot", "id")
-    chosen = (docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
-              .select(F.col(id_col).cast("string").alias("id"), F.col(label_col).alias("label"), F.col(text_col).alias("text"),
-                      F.xxhash64(F.col(id_col), F.lit(5)).alias("lot"))
-              .withColumn("place", F.row_number().over(order)).where(F.col("place") <= texts)
-              .orderBy("label", "place").select("label", "text"))
-    return [r for r in chosen.collect() if r.text.split()]         # at most ``texts`` of a language
+    rows = (docs.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
+            .select(F.col(id_col).cast("string").alias("id"), F.col(label_col).alias("label"), F.col(text_col).alias("text")))
+    order = Window.partitionBy("label").orderBy(F.xxhash64("id", F.lit(5)), "id")
+    ids = {r.id for r in rows.select("label", "id").withColumn("place", F.row_number().over(order)).where(F.col("place") <= texts).collect()}
+    chosen = rows.where(F.col("id").isin(sorted(ids))).collect() if ids else []        # at most ``texts`` of a language
+    return sorted((r for r in chosen if r.text.split()), key=lambda r: (r.label, r.id, r.text))
 
 
 def parts_of(word: str) -> list[bytes]:
