@@ -28,6 +28,8 @@ from tidemark.llm.distinct_words import release
 KINDS = ("email", "ip", "card", "phone")
 #: Texts that the trees are fitted on, of those with digits or an at sign and of all; and the most examples taken from them.
 TEXTS, OTHER_TEXTS, EXAMPLES = 3000, 500, 60_000
+#: The most true spans of a sampled text that are rewritten into examples.
+SPANS_OF_A_TEXT = 50
 #: Share of true spans among the chosen ones that a threshold has to reach on texts held out.
 PRECISION = 0.99
 #: Parts that the values of a feature are cut into.
@@ -358,7 +360,7 @@ def examples(text: str, lot: random.Random) -> Iterator[tuple[str, tuple[float,
     matches = list(rule_matches(text))
     true, failed = [s for s, ok in matches if ok], Taken([s for s, ok in matches if not ok])
     yield from _labelled(text, set(true), failed)
-    for start, end, kind in true:
+    for start, end, kind in true if len(true) <= SPANS_OF_A_TEXT else lot.sample(true, SPANS_OF_A_TEXT):
         before, after = text[max(0, start - 60):start], text[end:end + 60]
         for _ in range(4):
             way, body = lot.random(), text[start:end]
@@ -381,12 +383,13 @@ def _inside(text: str, start: int, end: int) -> list[Span]:
 
 
 def _labelled(text: str, true: set[Span], unknown: Taken, only: tuple[int, int] | None = None) -> Iterator[tuple[str, tuple[float, ...], int]]:
+    addresses = Taken([s for s in true if s[2] == "ip"])           # numbers inside one are not told apart
     for span in set(proposals(text)):
         if only and not (span[0] < only[1] and span[1] > only[0]):
             continue
         if span in true:
             yield span[2], features(text, span), 1
-        elif not unknown.meets(span) and not any(s[0] <= span[0] and span[1] <= s[1] and s[2] == "ip" != span[2] for s in true):
+        elif not unknown.meets(span) and (span[2] == "ip" or not addresses.meets(span)):
             yield span[2], features(text, span), 0
 
 
