@@ -120,7 +120,10 @@ class Classifier:
         x = _Rows(texts)
         more = [(np.setdiff1d(a, b), np.setdiff1d(b, a)) for a, b in pairs]
         lost, gained = _Rows([m[0] for m in more]), _Rows([m[1] for m in more])
-        w, bias, ahead, bias_ahead, pace = self.weights, 0.0, self.weights.copy(), 0.0, 1.0
+        used = np.unique(np.concatenate([x.at, lost.at, gained.at]))          # all other weights stay 0
+        for rows in (x, lost, gained):
+            rows.number(used)
+        w, bias, ahead, bias_ahead, pace = np.zeros(len(used)), 0.0, np.zeros(len(used)), 0.0, 1.0
         step = 4.0 / (1 + x.spread(share) + 16 * self.fair * (lost.spread() + gained.spread()))
         for _ in range(self.steps):
             slope_of = (1 / (1 + np.exp(-(x.dot(ahead) + bias_ahead))) - y) * share
@@ -135,7 +138,8 @@ class Classifier:
             push = (pace - 1) / pace_following
             ahead, bias_ahead = following + push * (following - w), bias_following + push * (bias_following - bias)
             w, bias, pace = following, bias_following, pace_following
-        self.weights, self.bias = w, float(bias)
+        self.weights = np.zeros(2**BITS)
+        self.weights[used], self.bias = w, float(bias)
         return self
 
     def scorer(self) -> Callable[[Sequence[str | None]], list[float]]:
@@ -162,17 +166,21 @@ class _Rows:
     def __init__(self, rows: Sequence[np.ndarray]) -> None:
         self.at = np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int64)
         self.row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        self.n = len(rows)
+        self.n, self.size = len(rows), 2**BITS
+
+    def number(self, used: np.ndarray) -> None:
+        """Count features by their place among the used ones."""
+        self.at, self.size = np.searchsorted(used, self.at), len(used)
 
     def dot(self, weights: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, weights[self.at], self.n)
 
     def back(self, slopes: np.ndarray) -> np.ndarray:
-        return np.bincount(self.at, slopes[self.row], 2**BITS)
+        return np.bincount(self.at, slopes[self.row], self.size)
 
     def spread(self, share: np.ndarray | None = None) -> float:
         """The greatest (weighted) mean squared logit of a unit weight vector, by power iteration."""
-        v, size = np.ones(2**BITS), 0.0
+        v, size = np.ones(self.size), 0.0
         for _ in range(12 if self.n else 0):
             v = self.back(self.dot(v) * (1 / self.n if share is None else share))
             size = float(np.linalg.norm(v))
