@@ -181,9 +181,9 @@ def _(c):
              union all select 'fact_facility', facility_id from facts where facility_id not in (select facility_id from history)) as g
        group by 1""")
 def _(c):
-    by_measure = tests.orphan_rows(c.facts, "measure_id", c.catalog, "measure_id").select(F.lit("fact_measure").alias("child"))
-    by_facility = tests.orphan_rows(c.facts, "facility_id", c.history, "facility_id").select(F.lit("fact_facility").alias("child"))
-    found = by_measure.unionByName(by_facility).groupBy("child").agg(F.count(F.lit(1)).alias("offending"))
+    by_measure = tests.orphan_counts(c.facts, "measure_id", c.catalog, "measure_id").select(F.lit("fact_measure").alias("child"), "n")
+    by_facility = tests.orphan_counts(c.facts, "facility_id", c.history, "facility_id").select(F.lit("fact_facility").alias("child"), "n")
+    found = by_measure.unionByName(by_facility).groupBy("child").agg(F.sum("n").alias("offending"))
     return found.withColumn("grade", tests.graded(F.col("offending"), 0, fv.ORPHAN_ERROR_ROWS))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import dicts
 from tidemark.operators import history, newest, ranks, routing, shape, tests
+from tidemark.plans.model_tests import ModelTest, run_model_tests
 
 
 def test_route_names_every_broken_rule(spark):
@@ -195,3 +196,26 @@ def test_latest_per_feed(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "feed string, r int")
     assert sorted(map(tuple, newest.latest_slice(df, "r").collect())) == [("a", 2)]
     assert sorted(map(tuple, newest.latest_slice_per_feed(df, "feed", "r").select("feed", "r").collect())) == [("a", 2), ("b", 1)]
+
+
+def test_orphans_are_counted_by_key_before_they_move(spark):
+    child = spark.createDataFrame([(k,) for k in ["a", "a", "b", "b", "b", None, "c"]], "k string")
+    parent = spark.createDataFrame([("a",), (None,)], "id string")
+    assert {tuple(r) for r in tests.orphan_counts(child, "k", parent, "id").collect()} == {("b", 3), ("c", 1)}
+    declared = ModelTest("child", "relationship", ("k",), parent=("parent", "id"), error_above=3)
+    some = run_model_tests(spark, {"child": child, "parent": parent}, [declared]).first()
+    none = run_model_tests(spark, {"child": child.where("k = 'a'"), "parent": parent}, [declared]).first()
+    assert (some.offending, some.grade) == (4, "error") and (none.offending, none.grade) == (0, "pass")
+
+
+def test_tables_of_the_chain_are_stored_without_a_shuffle(spark, tmp_path):
+    """Tasks write what they hold, so a file comes from each of them."""
+    from bindings.tables import Chain
+
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    rows = spark.range(0, 4000, 1, 4).selectExpr("id", "if(id % 2 = 0, '2025-01-01', '2025-02-01') as release_date")
+    made = Chain(spark, str(tmp_path))
+    out = made._stored("some", lambda: rows, by_release=True)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, rows.collect()))
+    assert len(out.inputFiles()) == 8       # two releases in each of four tasks; a shuffle for the folders left two files
