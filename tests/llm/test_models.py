@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from llm_cases import by_id, docs_of, folder  # noqa: F401
-from tidemark.llm import toxicity
+from tidemark.llm import language, toxicity
 from tidemark.llm.language import UNKNOWN, Network, _symbols, fit_languages, least_score, lot_of, predictor, with_language
 from tidemark.llm.toxicity import Classifier, features_of, fit_toxicity, swapped, with_toxicity, words_of
 
@@ -67,6 +68,22 @@ def test_long_words_teach_in_all_their_parts(docs_of):
     assert [label for label, _ in predict([start + "bcd", start + "xyz"])] == ["en", "fr"]
 
 
+def test_all_texts_teach(docs_of, monkeypatch):
+    """Each of 700 texts of a language counts, whatever lot its words are dealt into."""
+    def spelt(k):
+        return "".join(("abcdefghij" if k % 2 else "qrstuvwxyz")[int(c)] for c in f"{k:05d}")
+
+    rows = [(k, f"{'add a' if k % 2 else 'tu es'} {spelt(k)} é" + " 12" * (k % 3)) for k in range(1400)]
+    docs = docs_of(rows).withColumn("lang", F.when(F.col("doc_id") % 2 == 1, "en").otherwise("fr"))
+    uses = {(r.label, r.kind, bytes(r.key).decode()): r.n for r in language._taught(docs, "doc_id", "text", "lang").collect()}
+    want = Counter(("en" if k % 2 else "fr", "w", w) for k, t in rows for w in t.split())
+    assert {k: n for k, n in uses.items() if k[1] == "w"} == want and uses["en", "t", ""] == 700 == uses["fr", "c", "é"]
+    assert sum(kind == "d" for _, kind, _ in uses) == 2 * 700 + 2 + 2 + 2
+    monkeypatch.setattr(language, "PARTS_PER_LOT", 200)
+    network = fit_languages(docs)
+    assert [label for label, _ in predictor(network)([spelt(9001), spelt(9002)])] == ["en", "fr"] and {"a", "é", "z"} <= network.known
+
+
 def test_whole_texts_teach(docs_of):
     """What tells the languages apart stands at the end of long texts."""
     docs = docs_of([(k, "same words " * 300 + ("thorn" if k % 2 else "épine") * 1) for k in range(80)]).withColumn("lang", F.when(F.col("doc_id") % 2 == 1, "en").otherwise("fr"))

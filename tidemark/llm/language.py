@@ -4,19 +4,21 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
+from copy import copy
 from hashlib import sha256
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.distinct_words import WordMemory
+from tidemark.llm.store import stored
+from tidemark.operators import ranks
 
 UNKNOWN = "und"
-#: The most labelled texts per language that the network is fitted on; each is read whole.
-TEXTS_PER_LANGUAGE = 240
 EDGE, SYMBOLS = 256, 257
 #: Bytes of a word that the network reads in one go; a longer word is read in parts.
 PART = 40
@@ -83,20 +85,26 @@ class Network:
     def _both(self, x: np.ndarray) -> np.ndarray:
         return np.concatenate([self._run("f", x), self._run("b", x[::-1])[::-1]], axis=2)
 
-    def slopes(self, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Mean cross-entropy over all positions of words of one length, and its gradient by weight."""
+    def copy(self) -> Network:
+        other = copy(self)
+        other.weights = {k: w.copy() for k, w in self.weights.items()}
+        return other
+
+    def slopes(self, x: np.ndarray, y: np.ndarray, uses: np.ndarray | None = None) -> tuple[float, dict[str, np.ndarray]]:
+        """Mean cross-entropy over all positions of words of one length, and its gradient by weight; a word counts once, or by ``uses``."""
         kept_f, kept_b, into = [], [], {}
         both = np.concatenate([self._run("f", x, kept_f), self._run("b", x[::-1], kept_b)[::-1]], axis=2)
         chances, n = self._chances(both), x.size
         d = chances.copy()
         d[:, np.arange(len(y)), y] -= 1
-        d /= n
+        share = np.full(len(y), 1 / n, np.float32) if uses is None else (uses / uses.sum() / len(x)).astype(np.float32)
+        d *= share[:, None]
         into["out"] = both.reshape(n, -1).T @ d.reshape(n, -1)
         into["bias"] = d.sum(axis=(0, 1))
         towards = d @ self.weights["out"].T
         self._back("f", x, kept_f, towards[:, :, :self.hidden], into)
         self._back("b", x[::-1], kept_b, towards[::-1, :, self.hidden:], into)
-        return float(-np.log(chances[:, np.arange(len(y)), y] + 1e-12).mean()), into
+        return float((-np.log(chances[:, np.arange(len(y)), y] + 1e-12) * share).sum()), into
 
     def fit(self, words: Sequence[bytes], labels: Sequence[int], steps: int = 500, batch: int = 256, rate: float = 0.02,
             seed: int = 20266) -> Network:
@@ -116,6 +124,29 @@ class Network:
                 w -= pace * m / (np.sqrt(v) + 1e-8)
         return self
 
+    def pass_over(self, words: Sequence[bytes], labels: Sequence[int], uses: np.ndarray, turn: int, turns: int, steps: int = 60,
+                  batch: int = 1024, rate: float = 0.02) -> Network:
+        """Adam over all words, in batches of one length, as often as makes up ``steps``; a batch pulls by its share of all uses."""
+        rng, labels, lengths = np.random.default_rng(20266 + turn), np.asarray(labels), np.array([len(w) for w in words])
+        moments = {k: (np.zeros_like(w), np.zeros_like(w)) for k, w in self.weights.items()}
+        step, total = 0, float(uses.sum())
+        while step < steps:
+            order = rng.permutation(len(words))
+            batches = [same[at:at + batch] for n in np.unique(lengths).tolist() for same in [order[lengths[order] == n]] for at in range(0, len(same), batch)]
+            planned = len(batches) * -(-steps // len(batches))
+            for k in rng.permutation(len(batches)).tolist():
+                some, step = batches[k], step + 1
+                _, slopes = self.slopes(_symbols([words[w] for w in some]), labels[some], uses[some])
+                pull = np.float32(float(uses[some].sum()) / total * len(batches))
+                pace = rate * (1 - (turn + step / (planned + 1)) / turns) * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
+                for name, w in self.weights.items():
+                    m, v = moments[name]
+                    slope = pull * slopes[name]
+                    m += 0.1 * (slope - m)
+                    v += 0.001 * (slope**2 - v)
+                    w -= pace * m / (np.sqrt(v) + 1e-8)
+        return self
+
     def evidence(self, words: Sequence[str]) -> np.ndarray:
         """``sums`` in which what training never showed tells nothing: all positions of a word without a letter, and
         the share of a word's positions that its unknown characters take, count with the same chance of every label."""
@@ -154,14 +185,39 @@ def _symbols(words: Sequence[bytes]) -> np.ndarray:
     return np.concatenate([edge, inner, edge])
 
 
-def _sampled(docs: DataFrame, id_col: str, text_col: str, label_col: str, texts: int) -> list[Row]:
-    """``(label, text)`` of at most ``texts`` labelled texts per language, chosen by the hash of their ids."""
+def _taught(docs: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
+    """``(label, kind, key, n)`` of all labelled texts with words, stored: ``w`` the parts of words by use, ``c`` the characters
+    by texts that hold them, ``t`` the texts, ``d`` the distinct words with a letter."""
     rows = (docs.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
-            .select(F.col(id_col).cast("string").alias("id"), F.col(label_col).alias("label"), F.col(text_col).alias("text")))
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id", F.lit(5)), "id")
-    ids = {r.id for r in rows.select("label", "id").withColumn("place", F.row_number().over(order)).where(F.col("place") <= texts).collect()}
-    chosen = rows.where(F.col("id").isin(sorted(ids))).collect() if ids else []        # at most ``texts`` of a language
-    return sorted((r for r in chosen if r.text.split()), key=lambda r: (r.label, r.id, r.text))
+            .select(F.col(label_col).alias("label"), F.col(text_col).alias("text")))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 512):
+                found: dict[str, tuple[Counter, Counter, list[int]]] = {}
+                for label, text in zip(*(c.to_pylist() for c in batch.slice(k, 512).columns), strict=True):
+                    words = text.split()
+                    if words:
+                        uses, letters, texts = found.setdefault(label, (Counter(), Counter(), [0]))
+                        uses.update(words)
+                        letters.update(set(text))
+                        texts[0] += 1
+                out = []
+                for label, (uses, letters, texts) in found.items():
+                    parts: Counter[bytes] = Counter()
+                    for word, n in uses.items():
+                        for part in parts_of(word):
+                            parts[part] += n
+                    out += [(label, "w", part, n) for part, n in parts.items()]
+                    out += [(label, "c", c.encode("utf-8", "surrogatepass"), n) for c, n in letters.items()]
+                    out += [(label, "d", w.encode("utf-8", "surrogatepass"), 1) for w in uses if any(c.isalpha() for c in w)]
+                    out.append((label, "t", b"", texts[0]))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                        zip(*out, strict=True), (pa.string(), pa.string(), pa.binary(), pa.int64()), strict=True)], ["label", "kind", "key", "n"])
+
+    counted = rows.mapInArrow(count, "label string, kind string, key binary, n long")
+    return stored(counted.groupBy("label", "kind", "key").agg(F.sum("n").alias("n")), "taught")
 
 
 def parts_of(word: str) -> list[bytes]:
@@ -170,49 +226,85 @@ def parts_of(word: str) -> list[bytes]:
     return [raw[at:at + PART] for at in range(0, len(raw), PART)] or [raw]
 
 
-def _known(parts: Sequence[tuple[str, str]]) -> frozenset[str]:
+def _known(taught: DataFrame) -> frozenset[str]:
     """Characters in at least one of 100 texts of a language, and in two: a stray text in it makes no script known."""
-    known: set[str] = set()
-    for label in {k for k, _ in parts}:
-        own = [set(part) for k, part in parts if k == label]
-        counts = Counter(chain.from_iterable(own))
-        known.update(c for c, n in counts.items() if n >= min(len(own), max(2, len(own) / 100)))
-    return frozenset(known)
+    texts = taught.where("kind = 't'").select("label", F.col("n").alias("texts"))
+    enough = F.least(F.col("texts"), F.greatest(F.lit(2), F.col("texts") / 100))
+    often = taught.where("kind = 'c'").join(texts, "label").where(F.col("n") >= enough).select("key").distinct()
+    return frozenset(bytes(r.key).decode("utf-8", "surrogatepass") for r in often.collect())        # no more than there are characters
 
 
-def least_score(network: Network, held_out: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
-                texts: int = TEXTS_PER_LANGUAGE) -> float:
+def least_score(network: Network, held_out: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> float:
     """The evidence score below which a text is in none of the network's languages.
 
     A text has to look at least as much like one language as single words do: the
-    limit is the score that all but one of 10,000 words reach by themselves, among the
-    distinct words with a letter of labelled texts which the network was not fitted
+    limit is the score that all but one of 10,000 words reach by themselves, among all
+    distinct words with a letter of the labelled texts which the network was not fitted
     on.  A text in a known language, of however few words, is about as good as its
     words; one of unknown characters, or with few letters among other signs, is
     below.  The best of n chances is never below 1/n, where such texts lie, so the
     limit suits any number of languages.  Without such texts or labels it is 0.
     """
-    rows = _sampled(held_out, id_col, text_col, label_col, texts)
-    words = sorted({w for r in rows for w in r.text.split() if any(c.isalpha() for c in w)})
-    if not words or not network.labels:
+    if not network.labels:
         return 0.0
-    found = network.evidence(words)
-    return float(np.quantile(found[:, :-1].max(axis=1) / found[:, -1], 0.0001))
+    words = _taught(held_out, id_col, text_col, label_col).where("kind = 'd'").select("key").distinct()
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                found = network.evidence([w.decode("utf-8", "surrogatepass") for w in batch.column(0).to_pylist()])
+                yield pa.RecordBatch.from_arrays([pa.array(found[:, :-1].max(axis=1) / found[:, -1])], ["score"])
+
+    scores = words.mapInArrow(judge, "score double").withColumn("all", F.lit(1))
+    limit = ranks.group_quantiles(scores, ["all"], "score", {"limit": 0.0001}).first()
+    return float(limit["limit"]) if limit else 0.0
+
+
+#: Distinct parts of words that one task learns from by itself, tasks at most, and rounds after each of which their networks are averaged.
+PARTS_PER_LOT, MOST_LOTS, ROUNDS = 32_768, 256, 6
+
+
+def _learner(network: Network, turn: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """What a lot makes of the network in one round."""
+    def learn(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["key", "label"])
+        labels, uses = [network.labels.index(k) for k in rows["label"]], rows["n"].to_numpy(float)
+        own = network.copy().pass_over(list(rows["key"]), labels, uses, turn, ROUNDS)
+        raw = b"".join(own.weights[k].astype(np.float32).tobytes() for k in sorted(own.weights))
+        return pd.DataFrame({"lot": [int(rows["lot"].iloc[0])], "uses": [uses.sum()], "raw": [raw]})
+
+    return learn
+
 
+def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> Network:
+    """A network fitted on all words of all labelled texts.
 
-def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
-                  texts: int = TEXTS_PER_LANGUAGE) -> Network:
-    """A network fitted on all words of at most ``texts`` labelled texts per language, chosen by the hash of their ids.
+    Words are counted by label first, and the distinct ones dealt into lots by hash.
+    Lots take turns: in a round some of them pass over all of their words, by their
+    numbers of uses, and their networks are averaged by the uses they saw.  After all
+    rounds every lot had its turn, and the driver got one network of each.
 
     Rows with a null label or a text without words teach nothing; without any
     other row the network knows no language.
     """
-    rows = _sampled(docs, id_col, text_col, label_col, texts)
-    labels = sorted({r.label for r in rows})
-    pairs = [(part, labels.index(r.label)) for r in rows for w in r.text.split() for part in parts_of(w)]
-    network = Network(labels)
-    network.known = _known([(r.label, r.text) for r in rows])
-    return network.fit(*zip(*pairs, strict=True)) if pairs and labels else network
+    taught = _taught(docs, id_col, text_col, label_col)
+    network = Network(sorted(r.label for r in taught.where("kind = 't'").select("label").collect()))      # a row per language
+    network.known = _known(taught)
+    words = taught.where("kind = 'w'").select("label", "key", "n")
+    lots = max(1, min(MOST_LOTS, -(-words.count() // PARTS_PER_LOT)))
+    dealt = words.withColumn("lot", F.pmod(F.xxhash64("label", "key"), F.lit(lots)))
+    names = sorted(network.weights)
+    for turn in range(ROUNDS if network.labels else 0):
+        turns = dealt.where(F.col("lot") % min(ROUNDS, lots) == turn % min(ROUNDS, lots))
+        found = sorted(turns.groupBy("lot").applyInPandas(_learner(network, turn), "lot long, uses double, raw binary").collect())
+        mean = np.average([np.frombuffer(r.raw, np.float32) for r in found], axis=0, weights=[r.uses for r in found])
+        network = network.copy()
+        at = 0
+        for k in names:
+            shape, size = network.weights[k].shape, network.weights[k].size
+            network.weights[k] = mean[at:at + size].reshape(shape).astype(np.float32)
+            at += size
+    return network
 
 
 def predictor(network: Network, evidence: bool = False) -> Callable[[Sequence[str | None]], list[tuple[str, float]]]:
