@@ -217,6 +217,17 @@ def test_repeated_lines_leave_their_break(docs_of):
     assert [found[k]["text"] for k in range(4)] == [f"{line}\n{other}", "own words of this text here", "own start of this text", ""]
 
 
+def test_text_moves_once_beside_the_other_columns(docs_of):
+    """The row that is joined with its cuts holds the text once; more texts than a slice are all cut, in their places."""
+    line = "this line of six words stays"
+    rows = without_repeats(docs_of([(k, None if k % 7 == 3 else f"{line}\nnumber {k} has five words here") for k in range(1200)]).coalesce(1))
+    plan = rows._jdf.queryExecution().analyzed().toString()
+    assert "AS row#" in plan and not re.search(r"struct\([^()]*\btext#\d+[^()]*\) AS row#", plan)
+    found = by_id(rows)
+    assert len(found) == 1200 and found[3]["text"] is None and found[0]["text"].startswith(line) and found[0]["removed"] == []
+    assert all(found[k]["text"] == f"number {k} has five words here" and found[k]["removed"] == [{"first": 0, "last": len(line)}] for k in range(1, 1200) if k % 7 != 3)
+
+
 def test_a_whole_line_meets_an_inner_sentence(docs_of):
     one = "This sentence stands here on a line of its own."
     found = by_id(without_repeats(docs_of([one, f"First comes another short start. {one} Then an end of some words.", f"own words of this text here\n{one.upper()}\nx"])))
