@@ -84,6 +84,14 @@ def test_all_texts_teach(docs_of, monkeypatch):
     assert [label for label, _ in predictor(network)([spelt(9001), spelt(9002)])] == ["en", "fr"] and {"a", "é", "z"} <= network.known
 
 
+def test_only_what_is_asked_for_is_counted(docs_of):
+    """Fitting needs no list of distinct words, and the limit nothing but it: each counts its own kinds alone."""
+    docs = docs_of(["add a 12 " + "é" * 50, None, " "]).withColumn("lang", F.lit("en"))
+    counted = {kinds: {(r.kind, bytes(r.key), r.n) for r in language._taught(docs, "doc_id", "text", "lang", kinds).collect()} for kinds in ("wct", "d", "wctd")}
+    assert {k for k, _, _ in counted["wct"]} == {"w", "c", "t"} and {k for k, _, _ in counted["d"]} == {"d"}
+    assert counted["wctd"] == counted["wct"] | counted["d"] and ("w", ("é" * 20).encode(), 2) in counted["wct"]
+
+
 def test_whole_texts_teach(docs_of):
     """What tells the languages apart stands at the end of long texts."""
     docs = docs_of([(k, "same words " * 300 + ("thorn" if k % 2 else "épine") * 1) for k in range(80)]).withColumn("lang", F.when(F.col("doc_id") % 2 == 1, "en").otherwise("fr"))

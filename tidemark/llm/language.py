@@ -46,36 +46,58 @@ class Network:
     def _run(self, side: str, x: np.ndarray, keep: list | None = None) -> np.ndarray:
         """States by time for symbols by time; ``keep`` collects what going back needs."""
         h, u = self.hidden, self.weights[f"{side}_state"]
-        given = self.weights[f"{side}_in"][x]
-        states, state = np.empty((*x.shape, h), np.float32), np.zeros((x.shape[1], h), np.float32)
+        given = [np.ascontiguousarray(self.weights[f"{side}_in"][:, k:k + h]) for k in (0, h, 2 * h)]     # a table per gate: all that follows is contiguous
+        states, state = np.empty((*x.shape, h), u.dtype), np.zeros((x.shape[1], h), u.dtype)
         for t in range(len(x)):
             inner = state @ u
-            gates = 1 / (1 + np.exp(-(given[t, :, :2 * h] + inner[:, :2 * h])))
-            z, r = gates[:, :h], gates[:, h:]
-            fresh = np.tanh(given[t, :, 2 * h:] + r * inner[:, 2 * h:])
+            z, r, fresh = (w.take(x[t], axis=0) for w in given)
+            z += inner[:, :h]
+            r += inner[:, h:2 * h]
+            inner = np.ascontiguousarray(inner[:, 2 * h:])
+            for gate in (z, r):
+                np.negative(gate, out=gate)
+                np.exp(gate, out=gate)
+                gate += 1
+                np.divide(1, gate, out=gate)
+            fresh += r * inner
+            np.tanh(fresh, out=fresh)
             if keep is not None:
-                keep.append((state, z, r, fresh, inner[:, 2 * h:]))
-            state = fresh + z * (state - fresh)
-            states[t] = state
+                keep.append((state, z, r, fresh, inner))
+            state = np.subtract(state, fresh, out=states[t])
+            state *= z
+            state += fresh
         return states
 
     def _back(self, side: str, x: np.ndarray, kept: list, towards: np.ndarray, into: dict[str, np.ndarray]) -> None:
         """Gradients of one direction by going back through time; ``towards`` is the loss's slope at every state."""
         h, u = self.hidden, self.weights[f"{side}_state"]
-        slope_u, slope_in, carried = np.zeros_like(u), np.zeros((*x.shape, 3 * h), np.float32), np.zeros_like(towards[0])
+        slope_u, carried = np.zeros_like(u), np.zeros_like(towards[0])
+        slopes = [np.empty((*x.shape, h), towards.dtype) for _ in range(3)]
+        d_inner = np.empty((x.shape[1], 3 * h), towards.dtype)
         for t in range(len(x) - 1, -1, -1):
             state, z, r, fresh, inner = kept[t]
-            d = towards[t] + carried
-            d_fresh = d * (1 - z) * (1 - fresh * fresh)
-            d_z = d * (state - fresh) * z * (1 - z)
-            d_r = d_fresh * inner * r * (1 - r)
-            d_inner = np.concatenate([d_z, d_r, d_fresh * r], axis=1)
-            slope_in[t] = np.concatenate([d_z, d_r, d_fresh], axis=1)
+            d_z, d_r, d_fresh = (s[t] for s in slopes)
+            d, rest = towards[t] + carried, 1 - z
+            np.multiply(d, rest, out=d_fresh)
+            d_fresh *= 1 - fresh * fresh
+            np.multiply(d, state - fresh, out=d_z)
+            d_z *= z
+            d_z *= rest
+            np.multiply(d_fresh, inner, out=d_r)
+            d_r *= r
+            d_r *= 1 - r
+            d_inner[:, :h], d_inner[:, h:2 * h] = d_z, d_r
+            np.multiply(d_fresh, r, out=d_inner[:, 2 * h:])
             slope_u += state.T @ d_inner
-            carried = d * z + d_inner @ u.T
+            d *= z
+            d += d_inner @ u.T
+            carried = d
         into[f"{side}_state"] = slope_u
-        into[f"{side}_in"] = np.zeros_like(self.weights[f"{side}_in"])
-        np.add.at(into[f"{side}_in"], x.ravel(), slope_in.reshape(-1, 3 * h))
+        at = (x.reshape(-1, 1).astype(np.intp) * h + np.arange(h)).ravel()
+        sums = [np.zeros(SYMBOLS * h, towards.dtype) for _ in slopes]
+        for total, slope in zip(sums, slopes, strict=True):
+            np.add.at(total, at, slope.ravel())         # flat: much faster than by rows
+        into[f"{side}_in"] = np.concatenate([total.reshape(SYMBOLS, h) for total in sums], axis=1)
 
     def _chances(self, states: np.ndarray) -> np.ndarray:
         scores = states @ self.weights["out"] + self.weights["bias"]
@@ -161,19 +183,21 @@ class Network:
 
     def sums(self, words: Sequence[str]) -> np.ndarray:
         """A row for each word: the sums of label chances over its positions, and the number of positions."""
-        parts, owner = [], []
-        for k, word in enumerate(words):
-            parts += parts_of(word)
-            owner += [k] * (len(parts) - len(owner))
+        parts, owner = [word.encode("utf-8", "surrogatepass") for word in words], None
+        by_length = np.fromiter(map(len, parts), np.int64, len(parts))
+        if len(parts) and by_length.max() > PART:
+            owner = np.repeat(np.arange(len(words)), np.maximum(1, -(-by_length // PART)))
+            for k in np.flatnonzero(by_length > PART)[::-1].tolist():
+                parts[k:k + 1] = parts_of(words[k])
+            by_length = np.fromiter(map(len, parts), np.int64, len(parts))
         found = np.empty((len(parts), len(self.labels) + 1))
-        by_length = np.array([len(p) for p in parts])
         for length in np.unique(by_length):
             places = np.flatnonzero(by_length == length)
             for k in range(0, len(places), 4096):
                 some = places[k:k + 4096]
-                found[some, :-1] = self._chances(self._both(_symbols([parts[p] for p in some]))).sum(axis=0)
+                found[some, :-1] = self._chances(self._both(_symbols([parts[p] for p in some.tolist()]))).sum(axis=0)
                 found[some, -1] = length + 2
-        if len(parts) == len(words):
+        if owner is None:
             return found
         return np.add.reduceat(found, np.flatnonzero(np.diff(owner, prepend=-1)))
 
@@ -185,9 +209,9 @@ def _symbols(words: Sequence[bytes]) -> np.ndarray:
     return np.concatenate([edge, inner, edge])
 
 
-def _taught(docs: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
+def _taught(docs: DataFrame, id_col: str, text_col: str, label_col: str, kinds: str = "wctd") -> DataFrame:
     """``(label, kind, key, n)`` of all labelled texts with words, stored: ``w`` the parts of words by use, ``c`` the characters
-    by texts that hold them, ``t`` the texts, ``d`` the distinct words with a letter."""
+    by texts that hold them, ``t`` the texts, ``d`` the distinct words with a letter; only the ``kinds`` asked for are counted."""
     rows = (docs.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
             .select(F.col(label_col).alias("label"), F.col(text_col).alias("text")))
 
@@ -200,26 +224,38 @@ def _taught(docs: DataFrame, id_col: str, text_col: str, label_col: str) -> Data
                     if words:
                         uses, letters, texts = found.setdefault(label, (Counter(), Counter(), [0]))
                         uses.update(words)
-                        letters.update(set(text))
+                        if "c" in kinds:
+                            letters.update(set(text))
                         texts[0] += 1
-                out = []
                 for label, (uses, letters, texts) in found.items():
-                    parts: Counter[bytes] = Counter()
-                    for word, n in uses.items():
-                        for part in parts_of(word):
-                            parts[part] += n
-                    out += [(label, "w", part, n) for part, n in parts.items()]
-                    out += [(label, "c", c.encode("utf-8", "surrogatepass"), n) for c, n in letters.items()]
-                    out += [(label, "d", w.encode("utf-8", "surrogatepass"), 1) for w in uses if any(c.isalpha() for c in w)]
-                    out.append((label, "t", b"", texts[0]))
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                        zip(*out, strict=True), (pa.string(), pa.string(), pa.binary(), pa.int64()), strict=True)], ["label", "kind", "key", "n"])
+                    for kind in kinds:
+                        if kind == "w":
+                            told = _part_uses(uses)
+                        elif kind == "c":
+                            told = {c.encode("utf-8", "surrogatepass"): n for c, n in letters.items()}
+                        elif kind == "d":
+                            told = {w.encode("utf-8", "surrogatepass"): 1 for w in uses if any(map(str.isalpha, w))}
+                        else:
+                            told = {b"": texts[0]}
+                        if told:
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.repeat(label, len(told)), pa.repeat(kind, len(told)), pa.array(told, pa.binary()), pa.array(told.values(), pa.int64())],
+                                ["label", "kind", "key", "n"])
 
     counted = rows.mapInArrow(count, "label string, kind string, key binary, n long")
     return stored(counted.groupBy("label", "kind", "key").agg(F.sum("n").alias("n")), "taught")
 
 
+def _part_uses(uses: Counter[str]) -> dict[bytes, int]:
+    """Uses of words by part; a word of one part is that part."""
+    parts: dict[bytes, int] = {}
+    for word, n in uses.items():
+        raw = word.encode("utf-8", "surrogatepass")
+        for part in (raw,) if len(raw) <= PART else parts_of(word):
+            parts[part] = parts.get(part, 0) + n
+    return parts
+
+
 def parts_of(word: str) -> list[bytes]:
     """The bytes of a word as the network reads them: in one part, or a long word in several."""
     raw = word.encode("utf-8", "surrogatepass")
@@ -247,7 +283,7 @@ def least_score(network: Network, held_out: DataFrame, id_col: str = "doc_id", t
     """
     if not network.labels:
         return 0.0
-    words = _taught(held_out, id_col, text_col, label_col).where("kind = 'd'").select("key").distinct()
+    words = _taught(held_out, id_col, text_col, label_col, "d").select("key").distinct()
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -287,7 +323,7 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Rows with a null label or a text without words teach nothing; without any
     other row the network knows no language.
     """
-    taught = _taught(docs, id_col, text_col, label_col)
+    taught = _taught(docs, id_col, text_col, label_col, "wct")
     network = Network(sorted(r.label for r in taught.where("kind = 't'").select("label").collect()))      # a row per language
     network.known = _known(taught)
     words = taught.where("kind = 'w'").select("label", "key", "n")
@@ -321,17 +357,19 @@ def predictor(network: Network, evidence: bool = False) -> Callable[[Sequence[st
     def forgotten() -> None:
         rows[0] = rows[0][:0].copy()
 
-    memory = WordMemory(work, 400_000, keep=False, forgotten=forgotten)
+    memory = WordMemory(work, 200_000, keep=False, forgotten=forgotten)
 
     def predict(texts: Sequence[str | None]) -> list[tuple[str, float]]:
         cut = [(t or "").split() for t in texts]
-        known = memory.learn(chain.from_iterable(cut)).__getitem__ if network.labels else None
+        here = {w: k for k, w in enumerate(dict.fromkeys(chain.from_iterable(cut)))}    # a small table for the many look-ups
+        known = memory.learn(here).__getitem__ if network.labels else None
+        sums = rows[0][np.fromiter(map(known, here), np.int64, len(here))] if known else None
         out = []
         for words in cut:
-            if known is None or not any(c.isalpha() for w in words for c in w):
+            if known is None or not any(any(map(str.isalpha, w)) for w in words):
                 out.append((UNKNOWN, 0.0))
                 continue
-            total = rows[0][np.fromiter(map(known, words), np.int64, len(words))].sum(axis=0)
+            total = sums[np.fromiter(map(here.__getitem__, words), np.int64, len(words))].sum(axis=0)
             best = int(np.argmax(total[:-1]))
             out.append((network.labels[best], float(min(1.0, total[best] / total[-1]))))
         return out
