@@ -9,8 +9,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import dicts
+from bindings import feeds, tables
 from tidemark.operators import history, newest, ranks, routing, shape, tests
 from tidemark.plans.model_tests import ModelTest, run_model_tests
+from tidemark.session import WIDE_ROWS, with_settings
 
 
 def test_route_names_every_broken_rule(spark):
@@ -219,3 +221,30 @@ def test_tables_of_the_chain_are_stored_without_a_shuffle(spark, tmp_path):
     out = made._stored("some", lambda: rows, by_release=True)
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, rows.collect()))
     assert len(out.inputFiles()) == 8       # two releases in each of four tasks; a shuffle for the folders left two files
+
+
+def test_settings_hold_for_a_block_only(spark):
+    key, other = "spark.sql.maxConcurrentOutputFileWriters", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(other, "3m")
+    before = {k: spark.conf.get(k, None) for k in (key, other)}
+    with pytest.raises(ZeroDivisionError), with_settings(spark, {key: "7", other: "5m"}):
+        assert (spark.conf.get(key), spark.conf.get(other)) == ("7", "5m")
+        1 / 0
+    assert {k: spark.conf.get(k, None) for k in (key, other)} == before
+    spark.conf.unset(other)
+
+
+def test_stored_tables_are_read_in_small_pieces_and_written_without_a_sort(spark, monkeypatch):
+    """A file of a feed has few rows, all of the rows are there, and rows go to the folders of their releases as they come."""
+    rows = spark.range(1000).selectExpr("id", "cast(1990 + id % 5 as string) as release_date").coalesce(1)
+    monkeypatch.setattr(tables, "FEED_ROWS", 100)
+    monkeypatch.setattr(feeds, "bronze", lambda *a: rows)
+    chain, held = tables.Chain(spark, "none"), []
+    monkeypatch.setattr(tables, "with_settings", lambda spark_, settings: held.append(settings) or with_settings(spark_, settings))
+    landed = chain.bronze("any")
+    assert sorted(r.id for r in landed.collect()) == list(range(1000)) and held == [WIDE_ROWS]
+    assert max(r["count"] for r in landed.groupBy(F.input_file_name()).count().collect()) <= 100
+    stored = chain._stored("by", lambda: rows, by_release=True)
+    assert stored.columns == rows.columns and {(r.id, r.release_date) for r in stored.collect()} == {(k, str(1990 + k % 5)) for k in range(1000)}
+    order = [r.id for r in spark.read.parquet(f"{chain.folder}/by/release_date=1990").collect()]
+    assert order == list(range(0, 1000, 5))
