@@ -12,7 +12,7 @@ from conftest import dicts
 from bindings import feeds, tables
 from tidemark.operators import history, newest, ranks, routing, shape, tests
 from tidemark.plans.model_tests import ModelTest, run_model_tests
-from tidemark.session import WIDE_ROWS, with_settings
+from tidemark.session import WIDE_ROWS, shuffles_for, with_settings
 
 
 def test_route_names_every_broken_rule(spark):
@@ -248,3 +248,20 @@ def test_stored_tables_are_read_in_small_pieces_and_written_without_a_sort(spark
     assert stored.columns == rows.columns and {(r.id, r.release_date) for r in stored.collect()} == {(k, str(1990 + k % 5)) for k in range(1000)}
     order = [r.id for r in spark.read.parquet(f"{chain.folder}/by/release_date=1990").collect()]
     assert order == list(range(0, 1000, 5))
+
+
+def test_shuffles_of_stored_tables_are_dealt_by_the_rows_of_their_feeds(spark, monkeypatch):
+    """However few shuffle partitions the session has, a task sorts few rows: a session's fixed number came to spill at size."""
+    rows = spark.range(4000).selectExpr("id", "id % 1000 as key", "'2025-01-01' as release_date")
+    monkeypatch.setattr(tables, "FEED_ROWS", 100)
+    monkeypatch.setattr(feeds, "bronze", lambda *a: rows)
+    chain, key = tables.Chain(spark, "none"), "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        stored = chain._stored("dealt", lambda: rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")), of=("any",))
+        assert sorted(map(tuple, stored.collect())) == [(k, 4) for k in range(1000)]
+        assert len(stored.inputFiles()) == 40 and spark.conf.get("spark.sql.shuffle.partitions") == "4"
+        assert shuffles_for(spark, 300, 100) == {"spark.sql.shuffle.partitions": "4"}     # a session's larger number holds
+    finally:
+        spark.conf.set(key, before)
