@@ -68,6 +68,31 @@ def test_words_give_the_ids_of_the_text():
     assert [np.frombuffer(i, "<u2").tolist() for i in encode(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
+def test_a_piece_is_merged_once_for_all_words_that_hold_it(monkeypatch):
+    """Words that differ in the marks around them took the model's work again for each of them."""
+    import tokenizers
+
+    path, calls = tokenizer_file("byte_bpe_50k.json"), []
+
+    class Counted:
+        def __init__(self, whole):
+            self.tokenize = lambda piece: calls.append(piece) or whole.model.tokenize(piece)
+
+    class Library:
+        def __init__(self, whole):
+            self.model, self.get_added_tokens_decoder = Counted(whole), whole.get_added_tokens_decoder
+
+        @staticmethod
+        def from_file(name):
+            return Library(found)
+
+    found, t = tokenizers.Tokenizer.from_file(path), tokenizer()
+    monkeypatch.setattr(tokenizers, "Tokenizer", Library)
+    texts = ["a word, a word. (word) word! word", " word?", "word  word\n word ", ""]
+    assert [np.frombuffer(i, "<u2").tolist() for i in byte_bpe(path, "<u2")(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+    assert len(calls) == len(set(calls))
+
+
 def test_added_tokens_as_the_library_takes_them(docs_of, spark, tmp_path):
     """The query's ids are those of a tokenizer with default settings."""
     from tidemark.llm.queries import op2_token_files

@@ -22,9 +22,12 @@ from tidemark.llm.store import new_folder
 
 #: Fixed values of byte-level BPE: how a text falls into pieces, and the bytes that stand for themselves.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: ``PIECES`` on printable ASCII text, for the quicker matcher.
+ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^ A-Za-z0-9]+| +(?![^ ])| +")
 PLAIN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+_SPACE_BY_SPACE = re.compile(r" (?:\s|\Z)|\s ")
 
 
 def byte_letters() -> dict[int, int]:
@@ -41,8 +44,9 @@ def byte_bpe(path: str, dtype: str, added: bool = False) -> Callable[[list[str]]
 
     A piece begins at every space that stands alone between two other characters,
     so a text may be cut before each of these, and the ids of the text are those
-    of its words in turn.  Each distinct word is cut into pieces and merged by the
-    tokenizer's model once per memory.
+    of its words in turn.  Each distinct word is cut into pieces once per memory, and
+    each distinct piece merged by the tokenizer's model, so words that differ in the
+    marks around them share that work.
     """
     from tokenizers import Tokenizer
 
@@ -51,14 +55,25 @@ def byte_bpe(path: str, dtype: str, added: bool = False) -> Callable[[list[str]]
     contents = [t.content for t in tokenizer.get_added_tokens_decoder().values()] if added else []
     special = re.compile("|".join(map(re.escape, contents))) if contents else None
     code = {2: "H", 4: "I"}[np.dtype(dtype).itemsize]
-    edged: set[str] = set()                                # words with white space where two cuts could part a run of it
+
+    merged: dict[str, bytes] = {}                          # ids of pieces, as many as words are remembered
+
+    def pieces_of(word: str) -> list[str]:
+        if not word.isascii() or not word.isprintable():
+            return pieces.findall(word)
+        return [word] if word.isalpha() or word[0:1] == " " and word[1:].isalpha() else ASCII_PIECES.findall(word)
 
     def ids_of(words: list[str]) -> list[bytes]:
-        edged.update(w for w in words if w[1:].strip() != w[1:] or w == " ")
-        return [array(code, [t.id for piece in pieces.findall(w)
-                             for t in merge(piece.encode().decode("latin-1").translate(letters))]).tobytes() for w in words]
+        """Of words without the space that they begin with; a first word, which has none, has one instead."""
+        if len(merged) > memory.most:
+            merged.clear()
+        cut = [pieces_of(w[1:] if w[:1] == " " else " " + w) for w in words]
+        for piece in set(chain.from_iterable(cut)).difference(merged):
+            merged[piece] = array(code, [t.id for t in merge(piece.encode().decode("latin-1").translate(letters))]).tobytes()
+        known = merged.__getitem__
+        return [known(some[0]) if len(some) == 1 else b"".join(map(known, some)) for some in cut]
 
-    memory = WordMemory(ids_of, 500_000)
+    memory = WordMemory(ids_of, 500_000, forgotten=merged.clear)
 
     def encode(texts: list[str]) -> list[bytes]:
         whole = {k for k, t in enumerate(texts) if special.search(t)} if special else ()
@@ -68,18 +83,10 @@ def byte_bpe(path: str, dtype: str, added: bool = False) -> Callable[[list[str]]
         return [array(code, tokenizer.encode(t, add_special_tokens=False).ids).tobytes() if k in whole else next(rest) for k, t in enumerate(texts)]
 
     def encode_words(texts: list[str]) -> list[bytes]:
-        if len(edged) > memory.most:
-            edged.clear()
-            memory.forget()
-        cut = [[first, *[" " + w for w in others]] for first, *others in (t.split(" ") for t in texts)]
-        memory.learn(chain.from_iterable(cut))
-        if edged:
-            for k, words in enumerate(cut):
-                if not edged.isdisjoint(words):
-                    first, *others = _LONE_SPACE.split(texts[k])
-                    cut[k] = [first, *[" " + w for w in others]]
-            memory.learn(chain.from_iterable(cut))
-        known = memory.found.__getitem__
+        cut = [_LONE_SPACE.split(t) if _SPACE_BY_SPACE.search(t) else t.split(" ") for t in texts]
+        for words in cut:
+            words[0] = " " + words[0]
+        known = memory.learn(chain.from_iterable(cut)).__getitem__
         return [b"".join(map(known, words)) for words in cut]
 
     return encode
