@@ -297,3 +297,16 @@ def test_pieces_decode_to_the_text(docs_of):
     assert {k: found[k]["decoded"] for k in found} == {k: (t or "").replace("▁", " ") for k, t in enumerate(texts)}
     assert found[0]["ids"] == found[1]["ids"] == b""
     assert coded(docs_of(texts).where("false"), tokenizer_file("piece_bpe_32k.model")).count() == 0
+
+
+def test_units_are_looked_for_in_small_batches(docs_of, spark, monkeypatch):
+    """Batches of the session's size, beside the sort of the units, took an executor beyond its memory."""
+    from tidemark.llm import repeated_units
+
+    key, held = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before, stored = spark.conf.get(key, None), repeated_units.stored
+    monkeypatch.setattr(repeated_units, "stored", lambda df, label: held.append(spark.conf.get(key)) or stored(df, label))
+    line = "five words make a unit"
+    found = repeated_units.without_repeats(docs_of([(1, line), (2, line), (3, None)]))
+    assert {r.doc_id: r.text for r in found.collect()} == {1: line, 2: "", 3: None}
+    assert held == [str(4 << 20)] * 2 and spark.conf.get(key, None) == before
