@@ -93,6 +93,32 @@ def test_a_piece_is_merged_once_for_all_words_that_hold_it(monkeypatch):
     assert len(calls) == len(set(calls))
 
 
+def same_ids_as_the_library(texts):
+    t, encode = tokenizer(), byte_bpe(tokenizer_file("byte_bpe_50k.json"), "<u2")
+    assert [np.frombuffer(i, "<u2").tolist() for i in encode(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_pieces_are_remembered_and_not_words():
+    """Each spelling of a word with the marks around it was cut and kept: over the budget of CPU seconds where words seldom recur."""
+    from tidemark.llm import distinct_words
+
+    marks = ["", ".", ",", "!", "?", "(", ")", ";"]
+    same_ids_as_the_library([" ".join(a + word + b for a in marks for b in marks) for word in ("one", "two", "three")])
+    assert len(distinct_words._HELD[0].found) <= 2 * 3 + 2 * len(marks) ** 2 // 2       # words and marks, with and without a space
+
+
+def test_characters_are_of_the_kinds_that_the_library_knows():
+    """Letters newer than the library's tables were taken for letters."""
+    new = "\u088f\u0c5c\ua7ce\ua7d2"
+    same_ids_as_the_library([f"a{c}1{c}!{c} {c}{c}b '{c}s{c}'s \n{c}" for c in new + "\u0558\u2028\u3000\x85\x1cé½日🎉\u0301"])
+
+
+def test_texts_in_a_row_are_cut_apart(monkeypatch):
+    same_ids_as_the_library(["don'", "t", "a ", " b", "'", "s", "", "x\u3000", "\u3000", "y", "'l", "l", " ", "\n", "'ve", "'", "re's'd'lls", " 's", "1'm", ""])
+    monkeypatch.setattr("tidemark.llm.token_files.STRETCH", 16)
+    same_ids_as_the_library(["some words é it's   \n 12, " * 20, "x" * 50, " " * 50, "", *ODD])
+
+
 def test_added_tokens_as_the_library_takes_them(docs_of, spark, tmp_path):
     """The query's ids are those of a tokenizer with default settings."""
     from tidemark.llm.queries import op2_token_files
